@@ -74,28 +74,34 @@ def extracted_posts(
 def decoded_posts(extracted: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
     """One row per post with a document: post_id, prompt_version, month, doc.
 
+    With the roles among the fields there is also ``n_jobs``, the number of jobs of the post.
     An array of nothing or one document is exploded rather than filtered, because a
     filter would be pushed below the parsing and parse every document again.
     """
     one = F.when(F.col("doc").isNotNull(), F.array("doc"))
-    return decode(extracted, fields=fields).select("post_id", "prompt_version", "month", F.explode(one).alias("doc"))
+    decoded = decode(extracted, fields=fields).select(
+        "post_id", "prompt_version", "month", F.explode(one).alias("doc")
+    )
+    if fields is not None and "roles" not in fields:
+        return decoded
+    return decoded.withColumn("n_jobs", n_jobs("doc.roles"))
 
 
-def n_jobs(doc: str = "doc") -> Column:
+def n_jobs(roles: str) -> Column:
     """A post without roles counts as one job."""
-    return F.greatest(F.coalesce(F.size(f"{doc}.roles"), F.lit(0)), F.lit(1))
+    return F.greatest(F.coalesce(F.size(roles), F.lit(0)), F.lit(1))
 
 
 def with_first_job_id(decoded: DataFrame, width: int = ID_RANGE) -> DataFrame:
     """Add ``first_job_id``: dense ids from 1 in the order of post and role.
 
-    The id of a job is ``first_job_id + role_pos``. Only one number per post takes part.
+    The id of a job is ``first_job_id + role_pos``. Posts move once, to their id range;
+    the pass that counts jobs per range reads two narrow columns.
     """
-    counted = decoded.withColumn("_n_jobs", n_jobs().cast("long"))
     ranged = running_total_before(
-        counted, "_n_jobs", "_before", {"_range": id_range("post_id", width)}, [F.col("post_id")]
+        decoded, "n_jobs", "_before", {"_range": id_range("post_id", width)}, [F.col("post_id")]
     )
-    return ranged.withColumn("first_job_id", F.col("_before") + 1).drop("_before", "_n_jobs")
+    return ranged.withColumn("first_job_id", F.col("_before") + 1).drop("_before")
 
 
 def _ids(decoded: DataFrame) -> list[Column]:
@@ -158,7 +164,7 @@ def jobs(
 def post_technologies(decoded: DataFrame, dims: Dimensions) -> DataFrame:
     """One row per technology named in a post, with the number of jobs it counts for."""
     named = decoded.select(
-        *_ids(decoded), n_jobs().alias("n_jobs"), F.explode("doc.technologies_raw").alias("tech_raw")
+        *_ids(decoded), "n_jobs", F.explode("doc.technologies_raw").alias("tech_raw")
     )
     return with_tech(named.filter(F.col("tech_raw").isNotNull()), dims.tech)
 
@@ -166,7 +172,7 @@ def post_technologies(decoded: DataFrame, dims: Dimensions) -> DataFrame:
 def post_locations(decoded: DataFrame, dims: Dimensions) -> DataFrame:
     """One row per location of a post, with the number of jobs it counts for."""
     places = decoded.select(
-        *_ids(decoded), n_jobs().alias("n_jobs"), F.explode("doc.locations").alias("place")
+        *_ids(decoded), "n_jobs", F.explode("doc.locations").alias("place")
     )
     places = places.filter(F.col("place").isNotNull()).select(
         *_ids(decoded),

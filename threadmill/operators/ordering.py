@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-ID_RANGE = 1 << 18
+ID_RANGE = 1 << 16
 SALTS = 64
 
 
@@ -26,27 +26,23 @@ def running_total_before(
     """Add ``out``: the sum of ``value`` over all rows in front of each row.
 
     ``ranges`` cut the ordered rows into consecutive ranges of bounded size: their
-    columns ascend in the wanted order (or descend, NULLs last), and ``order`` sorts the
-    rows inside a range.
+    columns ascend (or descend) in the wanted order and are never NULL, and ``order`` sorts
+    the rows inside a range.
     Sums are taken per range first, with map-side aggregation. Only these, one row per
     range, meet in one task for the running offset; each range is then summed for itself.
     """
     names = list(ranges)
     ranged = df.select("*", *(c.alias(n) for n, c in ranges.items()))
     sums = ranged.groupBy(*names).agg(F.sum(value).alias("_sum"))
-    directed = [F.desc_nulls_last(n) if n in descending else F.asc_nulls_first(n) for n in names]
+    directed = [F.desc(n) if n in descending else F.asc(n) for n in names]
     before = W.orderBy(*directed).rowsBetween(W.unboundedPreceding, -1)
-    offsets = sums.select(
-        *(F.col(n).alias(f"{n}_o") for n in names),
-        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"),
-    )
+    offsets = sums.select(*names, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
     inside = W.partitionBy(*names).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    same = [F.col(n).eqNullSafe(F.col(f"{n}_o")) for n in names]
     return (
         ranged.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-        .join(offsets, same)
+        .join(offsets, names)
         .withColumn(out, F.col("_offset") + F.col("_inside"))
-        .drop("_inside", "_offset", *names, *(f"{n}_o" for n in names))
+        .drop("_inside", "_offset", *names)
     )
 
 

@@ -66,7 +66,7 @@ def newest_first(queue: DataFrame, limit: int | None = None) -> DataFrame:
     if limit <= SORTED_LIMIT:
         return queue.orderBy(*order).limit(limit)
     counted = queue.withColumn("_one", F.lit(1).cast("long"))
-    ranges = {"_month": F.col("month"), "_range": id_range("id")}
+    ranges = {"_month": F.coalesce("month", F.lit("")), "_range": id_range("id")}
     placed = running_total_before(
         counted, "_one", "_position", ranges, [F.col("id")], descending=["_month"]
     )

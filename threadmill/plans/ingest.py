@@ -61,6 +61,6 @@ def fetch_totals(new_posts: DataFrame, threads: DataFrame) -> DataFrame:
     """Posts per fetched thread, and the running total in the order of month and id."""
     counts = new_posts.groupBy("thread_id").agg(F.count("*").alias("n"))
     named = counts.join(threads.select(F.col("id").alias("thread_id"), "month"), "thread_id")
-    ranges = {"_month": F.col("month"), "_range": id_range("thread_id")}
+    ranges = {"_month": F.coalesce("month", F.lit("")), "_range": id_range("thread_id")}
     totals = running_total_before(named, "n", "_before", ranges, [F.col("thread_id")])
     return totals.select("thread_id", "month", "n", (F.col("_before") + F.col("n")).alias("running_total"))
