@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import fixed_values as V
 from ..functions.rules import remote_region, salary_bounds
-from ..schemas import DOCUMENT
+from ..schemas import DOCUMENT, struct
 from ..sources.dims import Dimensions, with_currency, with_place, with_tech
 from .ordering import ID_RANGE, id_range, running_total_before
 
@@ -33,16 +33,16 @@ def decode(df: DataFrame, raw: str = "raw_json", fields: Sequence[str] | None =
     and keeps the rest; only such rows and bad ones are looked at a second time.
     """
     wrapped = F.concat(F.lit('{"doc":'), F.col(raw), F.lit("}"))
-    schema = (
-        T.StructType()
-        .add("doc", document_schema(fields))
-        .add("_mismatch", T.StringType())
-    )
     options = {"columnNameOfCorruptRecord": "_mismatch", "allowSingleQuotes": "false"}
-    parsed = df.withColumn("_parsed", F.from_json(wrapped, schema, options))
-    shape = F.schema_of_variant(F.try_parse_json(F.col("_parsed._mismatch")))
+
+    def read(text: Column, document: T.DataType) -> Column:
+        return F.from_json(text, struct(doc=document, _mismatch=T.StringType()), options)
+
+    parsed = df.withColumn("_parsed", read(wrapped, document_schema(fields)))
+    # Any object is a map of texts, whatever its values are.
+    any_object = read(F.col("_parsed._mismatch"), T.MapType(T.StringType(), T.StringType()))
     good = F.when(F.col("_parsed._mismatch").isNull(), F.col("_parsed.doc").isNotNull()).otherwise(
-        F.coalesce(shape.startswith("OBJECT<doc: OBJECT"), F.lit(False))
+        any_object["_mismatch"].isNull() & any_object["doc"].isNotNull()
     )
     return (
         parsed.withColumn("doc", F.when(good, F.col("_parsed.doc")))
