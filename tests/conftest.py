@@ -1,10 +1,14 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).parent.parent))
+ROOT = Path(__file__).parent.parent
+sys.path.insert(0, str(ROOT))
+# Extractors of the tests have to be importable in the Python workers.
+os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT), str(ROOT / "tests"), os.environ.get("PYTHONPATH", "")])
 
 
 @pytest.fixture(scope="session")

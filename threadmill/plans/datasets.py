@@ -11,7 +11,7 @@ from ..operators.ordering import first_rows_per_group
 
 
 def _count(weight: Column | None) -> Column:
-    return F.count("*") if weight is None else F.sum(weight)
+    return F.count(F.lit(1)) if weight is None else F.sum(weight)
 
 
 def technologies_per_month(technologies: DataFrame, weight: Column | None = None) -> DataFrame:
