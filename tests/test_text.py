@@ -48,40 +48,58 @@ CASES = [
 ]
 
 
-def test_html_to_text(column):
-    got = column([c[0] for c in CASES], lambda v: X.html_to_text(F.col(v)))
-    assert got == [c[1] for c in CASES]
+@pytest.fixture(scope="module")
+def plain_text(spark):
+    def evaluate(posts, clean=False):
+        df = spark.createDataFrame(list(enumerate(posts)), "i int, html string")
+        return [r.text for r in X.with_plain_text(df, "html", clean=clean).orderBy("i").collect()]
 
+    return evaluate
 
-def test_native_form_gives_what_the_parser_gives(column):
+
+@pytest.fixture(scope="module")
+def native_form(spark):
+    """(plain?, native text) of posts."""
+
+    def evaluate(posts):
+        df = spark.createDataFrame(list(enumerate(posts)), "i int, html string")
+        rows = X._with_plain_markup(df, "html").orderBy("i").collect()
+        return [(r._plain, r._native) for r in rows]
+
+    return evaluate
+
+
+def test_html_to_text(plain_text):
+    assert plain_text([c[0] for c in CASES]) == [c[1] for c in CASES]
+
+
+def test_native_form_gives_what_the_parser_gives(native_form):
     pieces = [
         "word", " ", "\n", "&amp;", "&lt;", "&#x27;", "&nbsp;", "& ", "&", "&x", "<p>", "</p>", "<br>", "<br/>",
         "<i>", "</i>", "<pre><code>", '<a href="http:&#x2F;&#x2F;x.y" rel="nofollow">link</a>', "<", ">", ";",
-        '<a href="u&amp;v">', "</a>", "<div>", "</li>", "<h2>", "é", "amp;", '"', "\x01",
+        '<a href="u&amp;v">', "</a>", "<div>", "</li>", "<h2>", "é", "amp;", '"', "\x01", "\x02", "\n<p>", "<p>\n",
     ]
     rng = random.Random(3)
     posts = ["".join(rng.choices(pieces, k=rng.randint(0, 14))) for _ in range(6000)]
-    plain = column(posts, lambda v: X.is_plain_markup(F.col(v)))
-    native = column(posts, lambda v: X.plain_markup_to_text(F.col(v)))
-    assert 1000 < sum(plain) < 5500
-    differing = [(p, n) for p, ok, n in zip(posts, plain, native) if ok and n != X.parse_html(p)]
+    forms = native_form(posts)
+    assert 1000 < sum(plain for plain, _ in forms) < 5500
+    differing = [(p, n) for p, (plain, n) in zip(posts, forms) if plain and n != X.parse_html(p)]
     assert differing == []
 
 
-def test_usual_posts_need_no_parser(column):
+def test_usual_posts_need_no_parser(native_form):
     post = (
         "Acme &amp; Sons | Berlin | REMOTE<p>We don&#x27;t sleep &gt; 8h.<p><i>Stack:</i> C++<p>"
         '<a href="https:&#x2F;&#x2F;acme.example&#x2F;jobs" rel="nofollow">https:&#x2F;&#x2F;acme.example</a>'
         "<pre><code>x &lt; y\n</code></pre>"
     )
-    assert column([post], lambda v: X.is_plain_markup(F.col(v))) == [True]
-    assert column([post], lambda v: X.plain_markup_to_text(F.col(v))) == [X.parse_html(post)]
+    assert native_form([post]) == [(True, X.parse_html(post))]
 
 
-def test_scripts_are_text_unless_cleaned(column):
+def test_scripts_are_text_unless_cleaned(plain_text):
     html = ["<p>a</p><script>b();</script><p>c</p>", "<style>x</style>R&D"]
-    assert column(html, lambda v: X.html_to_text(F.col(v))) == ["a\nb();\nc", "x"]
-    assert column(html, lambda v: X.html_to_text(F.col(v), clean=True)) == ["a\nc", "R&D"]
+    assert plain_text(html) == ["a\nb();\nc", "x"]
+    assert plain_text(html, clean=True) == ["a\nc", "R&D"]
 
 
 def test_strip_takes_all_white_space(column):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.text import html_to_text, preview
+from ..functions.text import preview, with_plain_text
 from ..operators import documents as D
 from ..operators import infer, merge, quality, queue
 from ..plans import datasets, golden, ingest, normalize, report, stats
@@ -211,17 +211,17 @@ def orphan_rows(j):
 
 @query
 def html_text_of_pages(j):
-    return j.table("pages").select("page_id", html_to_text(F.col("html")).alias("text"))
+    return with_plain_text(j.table("pages"), "html").select("page_id", "text")
 
 
 @query
 def html_text_of_pages_clean(j):
-    return j.table("pages").select("page_id", html_to_text(F.col("html"), clean=True).alias("text"))
+    return with_plain_text(j.table("pages"), "html", clean=True).select("page_id", "text")
 
 
 @query
 def html_text_of_posts(j):
-    return j.posts().select("id", html_to_text(F.col("raw_html")).alias("text"))
+    return with_plain_text(j.posts(), "raw_html").select("id", "text")
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as V
 
@@ -22,7 +22,7 @@ def is_blank(col: Column) -> Column:
 
 # --- HTML to text -----------------------------------------------------------------
 
-_MARK = "\x01"
+_MARK, _LINE_MARK = "\x01", "\x02"
 _BLOCK = "p|br|div|li|tr|h[1-6]"
 _INLINE = "i|b|u|em|strong|code|pre|span|ul|ol|article|nav|section|small|sub|sup|blockquote"
 _LINK = r'<a href="([^"<>\s]+)"(?: rel="nofollow")?>([^<]*)</a>'
@@ -34,43 +34,70 @@ _ENTITIES = (
     ("&#x2F;", "/"), ("&nbsp;", "\xa0"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"),
 )
 _KNOWN_ENTITY = "|".join(e.strip("&;") for e, _ in _ENTITIES)
-# An ampersand that starts neither a name nor a number stands for itself. One before a
-# tag could turn into an entity once the tag is gone.
-_PLAIN_AMPERSAND = r"&(?=[^A-Za-z#<])"
-# An ampersand that nothing closes up to the end of the post.
-_OPEN_TAIL = r"&[^\s;<]*$"
+# An ampersand that may start some other entity, or could turn into one once a tag behind it
+# is gone. Any other one, with neither a name nor a number behind it, stands for itself.
+_HARD_AMPERSAND = rf"&(?!(?:{_KNOWN_ENTITY});|[^A-Za-z#<])"
+# An ampersand that nothing closes up to the end of the post; it only counts near the end.
+_OPEN_TAIL = r"&[^\s;<]*\z"
+_TAIL_CHARS = 34
 
 
-def _without_tags(html: Column) -> Column:
-    linked = F.regexp_replace(html, _LINK, "$2 ($1)")
-    marked = F.regexp_replace(linked, _BLOCK_TAG, _MARK)
-    return F.regexp_replace(marked, _INLINE_TAG, "")
+def _put(col: Column, old: str, new: str) -> Column:
+    return F.replace(col, F.lit(old), F.lit(new))
 
 
-def is_plain_markup(html: Column) -> Column:
-    """True when :func:`plain_markup_to_text` gives what the parser gives.
+def _with_plain_markup(df: DataFrame, html: str) -> DataFrame:
+    """Add ``_plain``, whether the native form is exact for a post, and ``_native``, that form.
 
-    That is the case for forum posts as a rule: block and inline tags without
-    attributes, links with nothing but text inside, and well-known entities.
+    It is exact for forum posts as a rule: block and inline tags without attributes,
+    links with nothing but text inside, and well-known entities. A block tag becomes a
+    mark, and marks become newlines where no newline is yet. Plain replacements do the
+    usual tags, regular expressions only see posts that have something for them to do;
+    every step is a column of its own and so evaluated once.
     """
-    unknown = F.regexp_replace(html, rf"&(?:{_KNOWN_ENTITY});|{_PLAIN_AMPERSAND}", "")
+    source, linked, marked, tagless = (F.col(c) for c in (html, "_linked", "_marked", "_tagless"))
+    lines, text = F.col("_lines"), F.col("_text")
+
+    linking = F.when(source.contains("</a>"), F.regexp_replace(source, _LINK, "$2 ($1)")).otherwise(source)
+    marking = linked
+    for tag, mark in (("<p>", _MARK), ("</p>", _MARK), ("<i>", ""), ("</i>", "")):
+        marking = _put(marking, tag, mark)
+    other_tags = F.regexp_replace(F.regexp_replace(marked, _BLOCK_TAG, _MARK), _INLINE_TAG, "")
+
+    open_tail = F.right(source, F.lit(_TAIL_CHARS)).rlike(_OPEN_TAIL)
+    hard = source.rlike(_HARD_AMPERSAND) | open_tail
+    good_entities = F.when(source.contains("&"), ~hard).otherwise(True)
+    no_marks = ~source.contains(_MARK) & ~source.contains(_LINE_MARK)
+
+    # Marks at the start count for nothing, and one after a newline not either.
+    lining = _put(_put(F.ltrim(tagless, F.lit(_MARK)), "\n" + _MARK, _LINE_MARK), 2 * _MARK, _MARK)
+    runs = lines.contains(2 * _MARK) | lines.contains(_LINE_MARK + _MARK)
+    breaking = F.when(
+        runs, F.regexp_replace(lines, f"[{_MARK}{_LINE_MARK}]{_MARK}*", "\n")
+    ).otherwise(_put(_put(lines, _MARK, "\n"), _LINE_MARK, "\n"))
+
+    def decode(col: Column, numeric: bool) -> Column:
+        for entity, char in _ENTITIES:
+            if entity.startswith("&#") == numeric:
+                col = _put(col, entity, char)
+        return col
+
+    numbers = F.when(text.contains("&#"), decode(text, numeric=True)).otherwise(text)
+    names = F.col("_numbers")
+    native = py_strip(F.when(names.contains("&"), decode(names, numeric=False)).otherwise(names))
     return (
-        ~html.contains(_MARK)
-        & ~_without_tags(html).contains("<")
-        & ~unknown.contains("&")
-        & ~html.rlike(_OPEN_TAIL)
+        df.withColumn("_linked", linking)
+        .withColumn("_marked", marking)
+        .withColumn("_tagless", F.when(marked.contains("<"), other_tags).otherwise(marked))
+        .withColumn("_plain", F.coalesce(no_marks & ~tagless.contains("<") & good_entities, F.lit(True)))
+        .withColumn("_lines", lining)
+        .withColumn("_text", breaking)
+        .withColumn("_numbers", numbers)
+        .withColumn("_native", F.coalesce(native, F.lit("")))
+        .drop("_linked", "_marked", "_tagless", "_lines", "_text", "_numbers")
     )
 
 
-def plain_markup_to_text(html: Column) -> Column:
-    """Native form for plain markup: no Python worker."""
-    text = F.regexp_replace(_without_tags(html), rf"^{_MARK}+", "")
-    text = F.regexp_replace(text, rf"(\n?){_MARK}+", "\n")
-    for entity, char in _ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return py_strip(text)
-
-
 class _PlainText(HTMLParser):
     """Collects the text of one post."""
 
@@ -130,15 +157,16 @@ def _parser_udf(clean: bool):
     return html_text
 
 
-def html_to_text(html: Column, clean: bool = False) -> Column:
-    """Plain text with ``text (url)`` links; NULL and '' give ''.
+def with_plain_text(df: DataFrame, html: str, out: str = "text", clean: bool = False) -> DataFrame:
+    """Add ``out``, plain text with ``text (url)`` links; NULL and '' give ''.
 
-    Plain markup stays in the JVM. The parser sees the other posts only: for plain
-    ones it is handed NULL, so they cost no transfer.
+    Plain markup stays in the JVM. The parser sees the other posts only: for plain ones
+    it is handed NULL, so they cost no transfer.
     """
-    plain = F.coalesce(is_plain_markup(html), F.lit(True))
-    parsed = _parser_udf(clean)(F.when(~plain, html))
-    return F.when(plain, F.coalesce(plain_markup_to_text(html), F.lit(""))).otherwise(parsed)
+    for_parser = F.when(~F.col("_plain"), F.col(html))
+    steps = _with_plain_markup(df, html).withColumn("_parsed", _parser_udf(clean)(for_parser))
+    text = F.when(F.col("_plain"), F.col("_native")).otherwise(F.col("_parsed"))
+    return steps.withColumn(out, text).drop("_plain", "_native", "_parsed")
 
 
 # --- previews and the extraction gate ---------------------------------------------

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as V
-from ..functions.text import html_to_text, is_skipped, is_truncated, py_strip, truncate
+from ..functions.text import is_skipped, is_truncated, py_strip, truncate, with_plain_text
 from ..schemas import LEDGER
 
 # (text, prompt) -> (document, input tokens, output tokens); may raise.
@@ -53,7 +53,7 @@ def attempt(extract: Extractor, text: str, prompt: str, sleep: Callable[[float],
 
 def prepare(queue: DataFrame) -> DataFrame:
     """id, text, skipped, truncated: the input of the model call, all but the last in the JVM."""
-    texts = queue.select("id", "is_deleted", "is_dead", html_to_text(F.col("raw_html")).alias("text"))
+    texts = with_plain_text(queue.select("id", "is_deleted", "is_dead", "raw_html"), "raw_html")
     return texts.select(
         "id",
         is_skipped(F.col("text"), F.col("is_deleted"), F.col("is_dead")).alias("skipped"),
@@ -113,7 +113,7 @@ def extract_documents(
 
     Whole texts, no gate on flags and a single try; short texts and failures give ``{}``.
     """
-    texts = posts.select("id", html_to_text(F.col("raw_html")).alias("text")).select(
+    texts = with_plain_text(posts.select("id", "raw_html"), "raw_html").select(
         "id", F.when(F.length(py_strip(F.col("text"))) >= V.MIN_TEXT_CHARS, F.col("text")).alias("text")
     )
 
