@@ -504,7 +504,7 @@ def full_report(j):
 
 def _predictions(j: JobThreads) -> DataFrame:
     rows = j.ledger().filter("prompt_version = 'v1' and status = 'ok'").select("post_id", "raw_json")
-    return D.decode(rows).filter("doc is not null").select("post_id", F.col("doc").alias("prediction"))
+    return D.decodable(rows).withColumnRenamed("doc", "prediction")
 
 
 @query

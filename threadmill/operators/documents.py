@@ -71,17 +71,23 @@ def extracted_posts(
     )
 
 
-def decoded_posts(extracted: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
-    """One row per post with a document: post_id, prompt_version, month, doc.
+def decodable(df: DataFrame, raw: str = "raw_json", fields: Sequence[str] | None = None) -> DataFrame:
+    """The rows with a document, with ``doc`` in place of the JSON column.
 
-    With the roles among the fields there is also ``n_jobs``, the number of jobs of the post.
     An array of nothing or one document is exploded rather than filtered, because a
     filter would be pushed below the parsing and parse every document again.
     """
     one = F.when(F.col("doc").isNotNull(), F.array("doc"))
-    decoded = decode(extracted, fields=fields).select(
-        "post_id", "prompt_version", "month", F.explode(one).alias("doc")
-    )
+    kept = [c for c in df.columns if c != raw]
+    return decode(df, raw, fields).select(*kept, F.explode(one).alias("doc"))
+
+
+def decoded_posts(extracted: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    """One row per post with a document: post_id, prompt_version, month, doc.
+
+    With the roles among the fields there is also ``n_jobs``, the number of jobs of the post.
+    """
+    decoded = decodable(extracted, fields=fields).select("post_id", "prompt_version", "month", "doc")
     if fields is not None and "roles" not in fields:
         return decoded
     return decoded.withColumn("n_jobs", n_jobs("doc.roles"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .. import fixed_values as V
 from ..functions.measures import year_bucket
 from ..functions.text import py_strip
-from ..operators.documents import decode
+from ..operators.documents import decodable
 from ..operators.infer import Extractor, extract_documents
 from ..operators.ordering import first_rows_per_group, sample_key
 from ..schemas import DOCUMENT
@@ -60,7 +61,7 @@ def golden_skeletons(
 ) -> DataFrame:
     """Label records for sampled posts that have none: expected starts as the model output."""
     new = sample.join(existing.select(F.col("post_id").alias("id")), "id", "left_anti")
-    outputs = decode(extract_documents(new, extractor, prompt)).select("post_id", "doc")
+    outputs = decodable(extract_documents(new, extractor, prompt))
     return new.join(outputs, new["id"] == outputs["post_id"]).select(
         "post_id", "month", "raw_html", F.col("doc").alias("llm_output"), F.col("doc").alias("expected")
     )
@@ -83,9 +84,7 @@ def labelled(golden: DataFrame, include_unchanged: bool = False) -> DataFrame:
 def predict(golden: DataFrame, extractor: Extractor, prompt: str) -> DataFrame:
     """(post_id, prediction) for golden posts, in memory of the job only."""
     posts = golden.select(F.col("post_id").alias("id"), "raw_html")
-    return decode(extract_documents(posts, extractor, prompt)).select(
-        "post_id", F.col("doc").alias("prediction")
-    )
+    return decodable(extract_documents(posts, extractor, prompt)).withColumnRenamed("doc", "prediction")
 
 
 def _compared(doc: str) -> dict[str, Column]:
@@ -106,9 +105,10 @@ def _compared(doc: str) -> dict[str, Column]:
 def canonical_tech(names: Column, aliases: dict[str, str] | None = None) -> Column:
     """Distinct canonical names of a technology list.
 
-    The list is mapped in place with a literal map, so a record stays one row.
+    The list is mapped in place with a literal map, so a record stays one row. The map is
+    written as JSON, which is folded into a literal when the query is planned.
     """
-    table = F.create_map(*(F.lit(x) for pair in (aliases or V.TECH_ALIASES).items() for x in pair))
+    table = F.from_json(F.lit(json.dumps(aliases or V.TECH_ALIASES)), "map<string, string>")
 
     def canonical(name: Column) -> Column:
         cleaned = F.lower(py_strip(name))
