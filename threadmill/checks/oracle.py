@@ -448,6 +448,17 @@ oracle(
     union all select 'last_month', max(month), null from hiring
     union all select 'month', month, n from ({_PER_MONTH})""",
 )
+_DUE_NOW = "(select id from hiring where id % 5 = 0 or coalesce(fetched_at, '') = '')"
+oracle(
+    "ingest_and_stats",
+    f"""
+    , landed as (select * from posts where id % 4 <> 0 or thread_id in {_DUE_NOW})
+    select 'kind' as section, kind as key, count(*) as n from threads group by kind
+    union all select 'posts', 'total', count(*) from landed
+    union all select 'first_month', min(month), null from hiring
+    union all select 'last_month', max(month), null from hiring
+    union all select 'month', month, n from ({_PER_MONTH.replace("join posts", "join landed")})""",
+)
 _STATUS = "select status, count(*) as n from ledger where prompt_version = 'v1' group by status"
 _TYPES = "select post_type, n, n / sum(n) over () * 100 as pct from (select post_type, count(*) as n from classified group by all)"
 _VISA = """

@@ -166,6 +166,14 @@ def posts_ingest_marks(j):
     return _ingested(j).threads.select("id", "fetched_at")
 
 
+@query
+def ingest_and_stats(j):
+    known = j.threads().filter("id % 5 <> 0")
+    pages = landed.read_thread_pages(j.spark, _landed(j, j.landed_pages(), "thread-pages"))
+    items = landed.read_thread_items(j.spark, _landed(j, j.landed_items(), "thread-items"))
+    return ingest.ingest_all(known, _stored_posts(j), pages, items, LATER)[1]
+
+
 @query
 def fetch_totals(j):
     hiring = j.threads().filter("kind = 'hiring'")

@@ -10,6 +10,8 @@ from ..operators.merge import latest_per_key, mark_fetched, replace_on_key, upse
 from ..operators.ordering import id_range, running_total_before
 from ..operators.queue import thread_by_id, threads_of_kind, threads_to_fetch
 from ..sources.landed import thread_hits, thread_posts, thread_stories
+from ..sources.tables import stage
+from .stats import stats
 
 
 def ingest_threads(threads: DataFrame, pages: DataFrame) -> DataFrame:
@@ -64,3 +66,14 @@ def fetch_totals(new_posts: DataFrame, threads: DataFrame) -> DataFrame:
     ranges = {"_month": F.coalesce("month", F.lit("")), "_range": id_range("thread_id")}
     totals = running_total_before(named, "n", "_before", ranges, [F.col("thread_id")])
     return totals.select("thread_id", "month", "n", (F.col("_before") + F.col("n")).alias("running_total"))
+
+
+def ingest_all(
+    threads: DataFrame, posts: DataFrame, pages: DataFrame, items: DataFrame, run_ts: str
+) -> tuple[PostIngest, DataFrame]:
+    """Thread list, posts of the threads that are due, and the statistics after that.
+
+    The new thread table is staged, since posts and statistics both start from it.
+    """
+    run = ingest_posts(stage(ingest_threads(threads, pages), "threads"), posts, items, run_ts)
+    return run, stats(run.threads, run.posts)
