@@ -280,16 +280,21 @@ _MARK = "chr(1)"
 
 
 def _page_text(html: str) -> str:
-    """Plain text of the pages, step by step with regular expressions."""
-    x = f"regexp_replace({html}, '<!--.*?-->|<!DOCTYPE html>', '', 'gs')"
+    """Plain text of the pages, step by step with regular expressions.
+
+    Entities come first, while their end is still marked by the tag behind them. These
+    names may lack the semicolon: some titles are cut off right before it.
+    """
+    x = html
+    for entity, char in (("&middot;?", "·"), ("&copy;?", "©"), ("&quot;?", '"'), ("&amp;?", "&")):
+        x = f"regexp_replace({x}, '{entity}', '{char}', 'g')"
+    x = f"regexp_replace({x}, '<!--.*?-->|<!DOCTYPE html>', '', 'gs')"
     x = f"""replace({x}, 'var t="</p>"', 'var t="' || chr(2) || '/p>"')"""
     x = f"""regexp_replace({x}, '<a href="([^"]*)">([^<]*)</a>', '\\2 (\\1)', 'g')"""
     x = f"regexp_replace({x}, '</?(p|br|div|li|tr|h[1-6])( [^>]*)?>', {_MARK}, 'g')"
     x = f"regexp_replace({x}, '<[^>]+>', '', 'g')"
     x = f"regexp_replace({x}, '^' || {_MARK} || '+', '')"
     x = f"regexp_replace({x}, '\\n?' || {_MARK} || '+', chr(10), 'g')"
-    for entity, char in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&amp;", "&")):
-        x = f"replace({x}, '{entity}', '{char}')"
     return _strip(f"replace({x}, chr(2), '<')")
 
 
