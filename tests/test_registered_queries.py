@@ -33,7 +33,9 @@ def test_query_gives_what_the_sql_gives(spark, tables, name):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+    without_sql = set(entry_points.queries()) - set(entry_points.oracle_sql())
+    assert without_sql <= set(entry_points.CORPUS_QUERIES)
 
 
 def test_entry(spark):

@@ -8,20 +8,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SCRATCH_KEY = "spark.checkpoint.dir"
+_local_scratch: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder of ``spark.checkpoint.dir``.
 
-    Where the setting is missing a local session gets a temporary folder; on a cluster
-    that would not be shared, so the call fails there.
+    Where the setting is missing a local session gets one temporary folder per application;
+    on a cluster that would not be shared, so the call fails there.
     """
     base = spark.conf.get(_SCRATCH_KEY, None)
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError(f"{_SCRATCH_KEY} is not set to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="threadmill-")
-        spark.conf.set(_SCRATCH_KEY, base)
+        application = spark.sparkContext.applicationId
+        if application not in _local_scratch:
+            _local_scratch[application] = tempfile.mkdtemp(prefix="threadmill-")
+        base = _local_scratch[application]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
