@@ -31,7 +31,7 @@ class Costs:
     sentence: int = 4
     free: int = 16
     window: int = 8
-    grid: int = 64
+    grid: int = 16
 
 
 LENGTH, END_ID, BLOCK = 2048, 1, 1 << 20

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadmill.llm import packing, tokens
+from threadmill.llm import language, nearjoin, packing, quality, tokens, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +15,35 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(_table(spark, sf_dir, "documents")))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(_table(spark, sf_dir, "pages"))
+
+
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearjoin.near_documents(_table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op7_token_counts)}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality.score_quality(docs, quality.train(docs, labels))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_packing, op2_language_id, op3_url_filters, op5_near_vectors, op6_jaccard_join, op7_token_counts,
+        op10_quality,
+    )
+}
