@@ -1,12 +1,57 @@
-"""From raw documents to packed training sequences, one written stage after another."""
+"""From raw documents to packed training sequences, one written stage after another.
+
+Language ID drops texts without a language, the n-gram Jaccard join leaves one document of each
+group of near copies, decontamination drops documents with benchmark passages, personal data is
+masked, and the rest is packed. Every stage works on all that the one before it kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES = []
+from threadmill.llm import language, leaks, nearjoin, packing, personal
+from threadmill.shipping import ship_package
+from threadmill.sources.tables import stage
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return language.keep_identified(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return nearjoin.keep_one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return leaks.drop_leaked(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return personal.mask_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return packing.piece_digests(packing.pack(docs))
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", decontaminate),
+    ("PII", mask_personal_data),
+    ("packing", pack),
+]
+
+#: The models of language ID and masking and the token ids have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; each is written to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

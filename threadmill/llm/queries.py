@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadmill.llm import language, nearjoin, packing, quality, tokens, urls, vectors
+from threadmill.llm import language, leaks, nearjoin, packing, personal, quality, repeats, tokens, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.span_digests(personal.personal_spans(_table(spark, sf_dir, "documents")))
+
+
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -35,6 +39,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(repeats.remove_repeats(_table(spark, sf_dir, "documents")))
+
+
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaked_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     return quality.score_quality(docs, quality.train(docs, labels))
@@ -43,7 +55,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_packing, op2_language_id, op3_url_filters, op5_near_vectors, op6_jaccard_join, op7_token_counts,
-        op10_quality,
+        op1_packing, op2_language_id, op3_url_filters, op4_personal_data, op5_near_vectors, op6_jaccard_join,
+        op7_token_counts, op8_repeats, op9_benchmark_leaks, op10_quality,
     )
 }
