@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -103,8 +102,8 @@ def _votes_and_features(text: Column, span: Column) -> Column:
     mailed = F.lower(word).rlike(rf"@[a-z0-9.-]*{_any(MAIL_WORDS)}")
     shape = (
         F.when(word.contains("@"), "at")
-        .when(word.rlike("[A-Z0-9]{16,}"), "upper")
-        .when(word.rlike("[0-9a-f]{16,}"), "hex")
+        .when(word.rlike("[0-9]*[A-Z][A-Z0-9]{15,}"), "upper")
+        .when(word.rlike("(?=[0-9]*[a-f])[0-9a-f]{16,}"), "hex")
         .when(digits >= 9, "long")
         .when(word.rlike(r"^\W*[0-9]{1,4}\W*$"), "short")
         .when(word.rlike(r"^\W*[0-9]+(?:[.,:/-][0-9]+)+\W*$"), "decimal")
@@ -207,12 +206,12 @@ def train(spans: DataFrame) -> list[str]:
             for table, value in zip(tables, r.features.split("|")):
                 table[value][truth] += r.n * share
     chosen = []
-    for values in product(*[sorted(t) for t in tables]):
+    for features in sorted({r.features for r in counts}):
         odds = math.log(totals[1] / totals[0])
-        for table, value in zip(tables, values):
+        for table, value in zip(tables, features.split("|")):
             odds += math.log(table[value][1] / totals[1]) - math.log(table[value][0] / totals[0])
         if odds > 0:
-            chosen.append("|".join(values))
+            chosen.append(features)
     return chosen
 
 
