@@ -23,7 +23,7 @@ from threadmill.sources.tables import stage
 LENGTH, GRAM = 50, 25
 BUCKET_BYTES = 48_000_000  # of text per share of anchors
 HOT = 4096  # documents of an anchor from which its strings are dealt out one by one
-_WINDOWS = 200_000
+_WINDOWS = 100_000
 _KEY = 6  # bytes of a hash that are kept
 _STEP = 1 << 20
 
@@ -223,25 +223,33 @@ def earlier_matches(pieces: list[bytes], owners: np.ndarray, length: int) -> lis
     return np.split(found, ends[:-1])
 
 
-def share_spans(batch: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Removed runs from all strings of one share of anchors."""
-    rows = []
+def _strings(batch: pd.DataFrame) -> Iterator[tuple[int, int, int, bytes]]:
+    """Document, anchor, start and bytes of every string of a share, one at a time."""
     for n, keys, starts, sizes, data in zip(batch["doc_id"], batch["keys"], batch["starts"], batch["sizes"], batch["data"]):
         at = 8 * n
-        ids = np.frombuffer(data[:at], "<i8").tolist()
-        for d, k, s, z in zip(ids, np.frombuffer(keys, "<u8").tolist(), np.frombuffer(starts, "<i8").tolist(), np.frombuffer(sizes, "<i4").tolist()):
-            rows.append((k, d, s, data[at : at + z]))
-            at += z
-    rows.sort(key=lambda r: (r[0], r[1]))
+        numbers = zip(
+            np.frombuffer(data[:at], "<i8").tolist(), np.frombuffer(keys, "<u8").tolist(),
+            np.frombuffer(starts, "<i8").tolist(), np.frombuffer(sizes, "<i4").tolist(),
+        )
+        for doc_id, key, start, size in numbers:
+            yield doc_id, key, start, data[at : at + size]
+            at += size
+
+
+def share_spans(batch: pd.DataFrame, length: int) -> pd.DataFrame:
+    """Removed runs from all strings of one share of anchors."""
     spans = _Spans()
     known: dict[bytes, int] = {}
+    for d, _, _, piece in _strings(batch):
+        known[piece] = min(d, known.get(piece, d))
     distinct: list[tuple[int, int, int, bytes]] = []
-    for k, d, s, piece in rows:
-        owner = known.setdefault(piece, d)
-        if owner < d:
+    for d, k, s, piece in _strings(batch):
+        if known[piece] < d:
             spans.add(d, s, s + len(piece))
         else:
             distinct.append((k, d, s, piece))
+    known.clear()
+    distinct.sort(key=lambda r: r[0])
     begin = 0
     while begin < len(distinct):
         end, windows = begin, 0
@@ -314,7 +322,8 @@ def repeat_spans(known: DataFrame, narrow: DataFrame, length: int, gram: int) ->
     per_doc = twice.groupBy("doc_id").agg(F.collect_list("twice").alias("twice"), F.collect_list("hot").alias("hot"))
     joint = lambda c: F.aggregate(c, F.lit(b""), lambda a, x: F.concat(a, x)).alias(c)
     firsts = narrow.where("least = doc_id").select("doc_id").join(per_doc, "doc_id").select("doc_id", joint("twice"), joint("hot"))
-    segments = stage(segment_rows(known.join(firsts, "doc_id"), buckets, length, gram), "segments")
+    # Strings take more memory than anchors, so their shares are smaller.
+    segments = stage(segment_rows(known.join(firsts, "doc_id"), 6 * buckets, length, gram), "segments")
     found = _per_bucket(segments.where("bucket >= 0"), lambda b: share_spans(b, length), _SPANS)
     done = segments.where("bucket < 0").select("doc_id", "starts", F.col("sizes").alias("stops"))
     return found.union(done).groupBy("doc_id").agg(F.collect_list(F.struct("starts", "stops")).alias("spans"))
