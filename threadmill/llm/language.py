@@ -190,7 +190,11 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     Rejected are null texts and texts without a letter; stated languages are kept as they are.
     """
     model = train(docs.select("doc_id", "text", "lang"))
+    # Exploding an array of nothing or one keeps the rejection behind the model; a filter would be
+    # pushed below it and run it twice.
     judged = predict(docs, model)
-    known = judged.where(F.col("lang_pred") != UNKNOWN) if model.languages else docs.where(F.col("text").rlike(r"\p{L}"))
-    lang = F.coalesce("lang", "lang_pred") if model.languages else F.col("lang")
-    return known.withColumn("lang", lang).select(docs.columns)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    answer = F.when(F.col("lang_pred") == UNKNOWN, F.array().cast("array<string>")).otherwise(F.array("lang_pred"))
+    known = judged.select(*[c for c in docs.columns if c in judged.columns], F.explode(answer).alias("_found"))
+    return known.withColumn("lang", F.coalesce("lang", "_found")).select(docs.columns)
