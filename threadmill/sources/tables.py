@@ -35,7 +35,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     lost executor repeats the work before it.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
