@@ -38,15 +38,17 @@ def found(text: Column, pattern: str) -> Column:
     gaps = F.split(text, pattern, -1)
     empty = F.array().cast("array<struct<start:int,stop:int,text:string>>")
 
-    def step(state: Column, i: Column) -> Column:
-        own = F.get(matches, i)
-        start = state["at"] + F.length(F.get(gaps, i))
-        stop = start + F.length(own)
-        span = F.struct(start.alias("start"), stop.alias("stop"), own.alias("text"))
+    # Gap and match come paired, so that the patterns run once per text and not once per match.
+    pairs = F.zip_with(gaps, matches, lambda g, m: F.struct(g.alias("gap"), m.alias("own")))
+
+    def step(state: Column, pair: Column) -> Column:
+        start = state["at"] + F.length(pair["gap"])
+        stop = start + F.length(pair["own"])
+        span = F.struct(start.alias("start"), stop.alias("stop"), pair["own"].alias("text"))
         return F.struct(stop.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
     walk = F.aggregate(
-        F.sequence(F.lit(0), F.size(matches) - 1),
+        F.filter(pairs, lambda p: p["own"].isNotNull()),
         F.struct(F.lit(0).alias("at"), empty.alias("out")),
         step,
         lambda state: state["out"],
