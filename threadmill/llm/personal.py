@@ -104,11 +104,11 @@ def _votes_and_features(text: Column, span: Column) -> Column:
     mailed = F.lower(word).rlike(rf"@[a-z0-9.-]*{_any(MAIL_WORDS)}")
     shape = (
         F.when(word.contains("@"), "at")
-        .when(word.rlike("[0-9]*[A-Z][A-Z0-9]{15,}"), "upper")
-        .when(word.rlike("(?=[0-9]*[a-f])[0-9a-f]{16,}"), "hex")
+        .when(word.rlike("[A-Z][A-Z0-9]{15}"), "upper")
+        .when(word.rlike("(?<![0-9a-f])(?=[0-9]*+[a-f])[0-9a-f]{16}"), "hex")
         .when(digits >= 9, "long")
         .when(word.rlike(r"^\W*[0-9]{1,4}\W*$"), "short")
-        .when(word.rlike(r"^\W*[0-9]+(?:[.,:/-][0-9]+)+\W*$"), "decimal")
+        .when(word.rlike(r"^\W*+[0-9]++(?:[.,:/-][0-9]++)++\W*+$"), "decimal")
         .otherwise("mixed")
     )
     strong = shape.isin("upper", "hex") | word.rlike(r"^[^@\s]+@[^@\s]+\.[^@\s]+$")
@@ -130,11 +130,14 @@ def _votes_and_features(text: Column, span: Column) -> Column:
 def _add_spans(rows: DataFrame, text: str) -> DataFrame:
     """``rows`` with the exact kinds as ``_email`` and so on, and ``_candidates`` that touch none."""
     rows = rows.select("*", *[c.alias(f"_{k}") for k, c in base_spans(F.col(text)).items()])
-    base = F.concat(*[f"_{k}" for k in KINDS])
-    free = F.filter(
-        found(F.col(text), _CANDIDATE),
-        lambda c: ~F.exists(base, lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])),
-    )
+
+    def apart(c: Column, spans: Column) -> Column:
+        return ~F.exists(spans, lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"]))
+
+    # The spans are bound to a lambda variable: as a plain column the optimizer may inline their
+    # patterns, which would then run once per candidate.
+    base = F.array(F.concat(*[f"_{k}" for k in KINDS]))
+    free = F.flatten(F.transform(base, lambda spans: F.filter(found(F.col(text), _CANDIDATE), lambda c: apart(c, spans))))
     return rows.withColumn("_candidates", F.transform(free, lambda c: _votes_and_features(F.col(text), c)))
 
 
