@@ -187,3 +187,45 @@ def test_versions_side_by_side(spark, raw_tables, tmp_path):
         N.write_tables(tables, str(tmp_path), keep_other_versions=True)
     counts = read_table(spark, str(tmp_path / "jobs")).groupBy("prompt_version").count().collect()
     assert {(r.prompt_version, r["count"]) for r in counts} == {("v1", 10), ("v2", 10)}
+
+
+def test_plain_rebuild_and_versions_mix(spark, raw_tables, tmp_path):
+    dims = built_in_dimensions(spark)
+    for version, keep in (("v1", False), ("v2", True)):
+        N.write_tables(N.normalize(*raw_tables, dims, version), str(tmp_path), keep_other_versions=keep)
+    counts = read_table(spark, str(tmp_path / "jobs")).groupBy("prompt_version").count().collect()
+    assert {(r.prompt_version, r["count"]) for r in counts} == {("v1", 10), ("v2", 10)}
+    N.write_tables(N.normalize(*raw_tables, dims, "v1"), str(tmp_path))
+    assert {r.prompt_version for r in read_table(spark, str(tmp_path / "jobs")).collect()} == {"v1"}
+
+
+def test_only_whole_json_objects_are_documents(spark):
+    texts = {
+        '{"post_type":"a"}': "a",
+        ' {"post_type":"a"} ': "a",
+        '{"post_type":"a"},"y":1': None,
+        '{},"doc":{"post_type":"evil"}': None,
+        '{"post_type":NaN},"doc":{"post_type":"evil"}': None,
+        '{"post_type":"a"} tail': None,
+        '{"post_type":"a"}}, {"x":1': None,
+        '{"post_type":"a"}} {"x":1': None,
+        '{"post_type":"a"},"end":1} ': None,
+        "[]": None,
+        "": None,
+        None: None,
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, raw_json string")
+    got = {r.id: r.doc for r in D.decode(df).collect()}
+    assert [got[i] and got[i].post_type for i in range(len(texts))] == list(texts.values())
+
+
+def test_ids_of_postings_only_stay_dense(spark, raw_tables):
+    dims = built_in_dimensions(spark)
+    ledger, posts, threads = raw_tables
+    meta = ledger.selectExpr(
+        "post_id", "prompt_version",
+        """if(post_id = 2, '{"post_type":"meta_or_other","roles":[{},{}]}', raw_json) as raw_json""", "status",
+    )
+    tables = N.normalize(meta, posts, threads, dims, only_job_postings=True)
+    assert sorted(r.job_id for r in tables.jobs.collect()) == list(range(1, 9))
+    assert tables.post_classification.count() == 8

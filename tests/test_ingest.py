@@ -149,3 +149,12 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_listed_again_the_last_one_counts(spark, tmp_path):
+    hit = {"objectID": "5", "title": "Who is hiring? (June 2020)", "created_at": "2020-06-01"}
+    pages = [{"hits": [{**hit, "num_comments": n}], "nbPages": 3} for n in (10, 20, 30)]
+    (tmp_path / "pages.json").write_text("\n".join(map(json.dumps, pages)))
+    empty = spark.createDataFrame([], THREADS)
+    got = ingest.ingest_threads(empty, landed.read_thread_pages(spark, str(tmp_path)))
+    assert [(r.id, r.num_comments) for r in got.collect()] == [(5, 30)]

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,5 +59,46 @@ def test_extract_stream(spark, tmp_path):
     assert I.merged_ledger(spark, ledger_log).filter(F.col("status") == "ok").count() == 3
 
 
+def _extract(spark, posts_log, threads, ledger_log, state, version, calls):
+    def counted(text, prompt):
+        calls.append(1)
+        return answer(text, prompt)
+
+    I.extract_stream(
+        spark, posts_log, threads, ledger_log, state, counted, "p", RUN, version=version
+    ).awaitTermination()
+
+
+def test_streams_do_not_touch_rows_of_another_checkpoint(spark, tmp_path):
+    posts_log, ledger_log = str(tmp_path / "posts"), str(tmp_path / "ledger")
+    threads = spark.createDataFrame([(1, "t", "hiring", "2020-01", "", None, None)], THREADS)
+    rows = [(i, 1, "a", "", "x" * 60, 0, 0, RUN) for i in (1, 2, 3)]
+    append_batch(spark.createDataFrame(rows, POSTS), posts_log, 0)
+
+    def versions():
+        found = I.merged_ledger(spark, ledger_log).collect()
+        return sorted((r.prompt_version, r.post_id) for r in found)
+
+    for version, state in (("v1", "s1"), ("v2", "s2")):
+        _extract(spark, posts_log, threads, ledger_log, str(tmp_path / state), version, [])
+    both = [(v, i) for v in ("v1", "v2") for i in (1, 2, 3)]
+    assert versions() == both
+    # A lost checkpoint: all posts come again, but the ledger has them.
+    _extract(spark, posts_log, threads, ledger_log, str(tmp_path / "s3"), "v1", [])
+    assert versions() == both
+    assert I.read_log(spark, ledger_log, LEDGER).count() == 6
+
+
+def test_the_post_that_lands_last_stays(spark, tmp_path):
+    landing, log = tmp_path / "in", str(tmp_path / "log")
+    landing.mkdir()
+    _land(landing, "a.json", 1, (10, "first"), (10, "second"), (11, "x"))
+    _land(landing, "b.json", 1, (11, "y"))
+    for name, time in (("a.json", 2_000_000_000), ("b.json", 1_900_000_000)):
+        os.utime(landing / name, (time, time))
+    I.ingest_stream(spark, str(landing), log, str(tmp_path / "state"), RUN).awaitTermination()
+    assert {r.id: r.author for r in I.merged_posts(spark, log).collect()} == {10: "second", 11: "x"}
+
+
 def test_log_that_does_not_exist_yet(spark, tmp_path):
     assert I.merged_posts(spark, str(tmp_path / "none")).count() == 0

@@ -674,9 +674,7 @@ oracle(
     "compared_technologies",
     "select month, "
     + ", ".join(f"coalesce(sum(n_jobs) filter (tech = '{t}'), 0)::bigint as {t}" for t in COMPARED)
-    + " from technologies where tech in ("
-    + ", ".join(f"'{t}'" for t in COMPARED)
-    + ") group by month",
+    + " from technologies group by month",
 )
 
 # --- streams ----------------------------------------------------------------------------------

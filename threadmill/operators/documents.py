@@ -29,8 +29,10 @@ def decode(df: DataFrame, raw: str = "raw_json", fields: Sequence[str] | None =
     """Add ``doc``, the document in JSON column ``raw``, NULL where that is no JSON object.
 
     The text is parsed inside an outer object, so that anything after the document
-    counts as an error too. A value of the wrong type inside a good document is a NULL
-    and keeps the rest; only such rows and bad ones are looked at a second time.
+    counts as an error too. A text that closes the outer object, or adds members to it, shows in
+    the keys of that object: they must be the document and an end key, which the text cannot
+    hold as it is a hash of it. A value of the wrong type inside a good document is a NULL and
+    keeps the rest; only such rows and bad ones are parsed a second time.
     """
     wrapped = F.concat(F.lit('{"doc":'), F.col(raw), F.lit("}"))
     options = {"columnNameOfCorruptRecord": "_mismatch", "allowSingleQuotes": "false"}
@@ -38,12 +40,18 @@ def decode(df: DataFrame, raw: str = "raw_json", fields: Sequence[str] | None =
     def read(text: Column, document: T.DataType) -> Column:
         return F.from_json(text, struct(doc=document, _mismatch=T.StringType()), options)
 
+    end = F.concat(F.lit("end"), F.xxhash64(F.col(raw)).cast("string"))
+    closed = F.concat(F.lit('{"doc":'), F.col(raw), F.lit(',"'), end, F.lit('":1}'))
+    # The strict key scan knows no NaN; a text it does not take is parsed as the document is.
+    keys = F.coalesce(F.json_object_keys(closed), F.map_keys(F.from_json(closed, "map<string,string>", options)))
+    whole = F.coalesce(keys == F.array(F.lit("doc"), end), F.lit(False))
     parsed = df.withColumn("_parsed", read(wrapped, document_schema(fields)))
     # Any object is a map of texts, whatever its values are.
     any_object = read(F.col("_parsed._mismatch"), T.MapType(T.StringType(), T.StringType()))
     good = F.when(F.col("_parsed._mismatch").isNull(), F.col("_parsed.doc").isNotNull()).otherwise(
         any_object["_mismatch"].isNull() & any_object["doc"].isNotNull()
     )
+    good = whole & good
     return (
         parsed.withColumn("doc", F.when(good, F.col("_parsed.doc")))
         .withColumn("has_mismatch", good & F.col("_parsed._mismatch").isNotNull())

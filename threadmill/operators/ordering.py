@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 ID_RANGE = 1 << 16
 SALTS = 64
+# Ranges are grouped this often before their sums meet in one task: of 64-bit ids, 2**15 groups are left.
+COARSER = 2
 
 
 def id_range(col: str, width: int = ID_RANGE) -> Column:
@@ -22,21 +24,30 @@ def running_total_before(
     ranges: dict[str, Column],
     order: Sequence[Column],
     descending: Sequence[str] = (),
+    coarser: int = COARSER,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all rows in front of each row.
 
     ``ranges`` cut the ordered rows into consecutive ranges of bounded size: their
     columns ascend (or descend) in the wanted order and are never NULL, and ``order`` sorts
-    the rows inside a range.
-    Sums are taken per range first, with map-side aggregation. Only these, one row per
-    range, meet in one task for the running offset; each range is then summed for itself.
+    the rows inside a range. The last of them is a number and ascends.
+    Sums are taken per range first, with map-side aggregation, and the ranges are summed in
+    the same way in wider ranges, ``coarser`` times. Only the widest meet in one task, a number
+    that does not depend on how sparse the ids are; each range is then summed for itself.
     """
     names = list(ranges)
     ranged = df.select("*", *(c.alias(n) for n, c in ranges.items()))
     sums = ranged.groupBy(*names).agg(F.sum(value).alias("_sum"))
-    directed = [F.desc(n) if n in descending else F.asc(n) for n in names]
-    before = W.orderBy(*directed).rowsBetween(W.unboundedPreceding, -1)
-    offsets = sums.select(*names, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    if coarser:
+        wider = {f"{n}_": F.col(n) for n in names[:-1]} | {f"{names[-1]}_": id_range(names[-1])}
+        summed = running_total_before(
+            sums, "_sum", "_sum_before", wider, [F.asc(names[-1])], [f"{n}_" for n in descending], coarser - 1
+        )
+        offsets = summed.select(*names, F.col("_sum_before").alias("_offset"))
+    else:
+        directed = [F.desc(n) if n in descending else F.asc(n) for n in names]
+        before = W.orderBy(*directed).rowsBetween(W.unboundedPreceding, -1)
+        offsets = sums.select(*names, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
     inside = W.partitionBy(*names).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     return (
         ranged.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))

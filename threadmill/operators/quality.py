@@ -11,10 +11,11 @@ from ..schemas import POST_DOMAINS, ROLE_DOMAINS
 
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str, name: str) -> DataFrame:
-    """Number of child rows whose parent does not exist."""
+    """Number of child rows whose parent does not exist; children are counted per key first."""
     parents = parent.select(F.col(parent_key).alias(key))
-    missing = child.select(key).filter(F.col(key).isNotNull()).join(parents, key, "left_anti")
-    return missing.agg(F.count("*").alias("orphans")).select(F.lit(name).alias("relation"), "orphans")
+    children = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    missing = children.join(parents, key, "left_anti")
+    return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orphans")).select(F.lit(name).alias("relation"), "orphans")
 
 
 def _long_form(counts: DataFrame, names: list[str], label: str, value: str) -> DataFrame:

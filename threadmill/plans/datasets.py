@@ -51,8 +51,9 @@ def compare_technologies(
     """One row per month and one count column per technology, 0 where it is not named."""
     if not 2 <= len(names) <= 5:
         raise ValueError("compare 2 to 5 technologies")
-    chosen = technologies.filter(F.col("tech").isin(*names))
-    return chosen.groupBy("month").pivot("tech", list(names)).agg(_count(weight)).na.fill(0)
+    one = F.lit(1) if weight is None else weight
+    counts = (F.coalesce(F.sum(F.when(F.col("tech") == n, one)), F.lit(0)).alias(n) for n in names)
+    return technologies.groupBy("month").agg(*counts)
 
 
 def export_json(dataset: DataFrame, path: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as V
 from ..functions.measures import year_bucket
@@ -13,6 +13,7 @@ from ..operators.documents import decodable
 from ..operators.infer import Extractor, extract_documents
 from ..operators.ordering import first_rows_per_group, sample_key
 from ..schemas import DOCUMENT
+from ..sources.tables import stage
 
 ACCURACY_FIELDS = (
     "post_type", "company_name", "workplace_policy", "visa_sponsorship",
@@ -41,12 +42,8 @@ def stratified_ids(pool: DataFrame, n: int, seed: str = "") -> DataFrame:
         "id", "month", year_bucket(F.col("month")).alias("year"), sample_key(F.col("id"), seed).alias("_key")
     )
     order = [F.col("_key"), F.col("id")]
-    # No year gives more than n, so this bounds what the next steps see by n per year.
-    first = first_rows_per_group(keyed, ["year"], order, n, F.col("id"))
-    years = F.max("_year_no").over(W.partitionBy())
-    ranked = first.withColumn("_year_no", F.dense_rank().over(W.orderBy("year")))
-    quota = F.greatest(F.lit(1), F.floor(F.lit(n) / years))
-    chosen = ranked.withColumn("_quota", quota).filter(F.col("rank") <= F.col("_quota"))
+    years = keyed.select("year").distinct().count()
+    chosen = first_rows_per_group(keyed, ["year"], order, max(1, n // max(1, years)), F.col("id"))
     return chosen.orderBy(*order).limit(n).select("id", "month", "year")
 
 
@@ -59,9 +56,12 @@ def stratified_sample(pool: DataFrame, n: int = 30, seed: str = "") -> DataFrame
 def golden_skeletons(
     sample: DataFrame, existing: DataFrame, extractor: Extractor, prompt: str
 ) -> DataFrame:
-    """Label records for sampled posts that have none: expected starts as the model output."""
+    """Label records for sampled posts that have none: expected starts as the model output.
+
+    The outputs are staged, so that a second action on the result makes no second call.
+    """
     new = sample.join(existing.select(F.col("post_id").alias("id")), "id", "left_anti")
-    outputs = decodable(extract_documents(new, extractor, prompt))
+    outputs = stage(decodable(extract_documents(new, extractor, prompt)), "outputs")
     return new.join(outputs, new["id"] == outputs["post_id"]).select(
         "post_id", "month", "raw_html", F.col("doc").alias("llm_output"), F.col("doc").alias("expected")
     )
@@ -82,9 +82,11 @@ def labelled(golden: DataFrame, include_unchanged: bool = False) -> DataFrame:
 
 
 def predict(golden: DataFrame, extractor: Extractor, prompt: str) -> DataFrame:
-    """(post_id, prediction) for golden posts, in memory of the job only."""
+    """(post_id, prediction) for golden posts; staged, so that every model call is made once."""
     posts = golden.select(F.col("post_id").alias("id"), "raw_html")
-    return decodable(extract_documents(posts, extractor, prompt)).withColumnRenamed("doc", "prediction")
+    return stage(decodable(extract_documents(posts, extractor, prompt)), "predictions").withColumnRenamed(
+        "doc", "prediction"
+    )
 
 
 def _compared(doc: str) -> dict[str, Column]:

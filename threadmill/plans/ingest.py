@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.merge import latest_per_key, mark_fetched, replace_on_key, upsert_threads
 from ..operators.ordering import id_range, running_total_before
 from ..operators.queue import thread_by_id, threads_of_kind, threads_to_fetch
-from ..sources.landed import thread_hits, thread_posts, thread_stories
+from ..sources.landed import thread_hits, thread_posts, thread_stories, with_landing
 from ..sources.tables import stage
 from .stats import stats
 
 
 def ingest_threads(threads: DataFrame, pages: DataFrame) -> DataFrame:
-    """The thread table after a landed thread list. A thread listed twice counts once."""
-    hits = latest_per_key(thread_hits(pages), ["id"], [F.desc("created_at"), F.desc("title")])
-    return upsert_threads(threads, hits)
+    """The thread table after a landed thread list. Of a thread listed twice the last one counts."""
+    hits = latest_per_key(thread_hits(with_landing(pages)), ["id"], [F.desc("_landed")])
+    return upsert_threads(threads, hits.drop("_landed"))
 
 
 @dataclass(frozen=True)
@@ -39,14 +39,16 @@ def ingest_posts(
     """Tables after landing the documents of the threads that are due.
 
     A single thread is taken whatever its kind, and added when the list lacks it.
-    Documents of other threads are left alone.
+    Documents of other threads are left alone. Of a post that landed twice the last one stays.
     """
+    items = with_landing(items)
     if thread_id is None:
         chosen = threads_of_kind(threads, kind)
     else:
         stories = thread_stories(items.filter(F.col("id") == thread_id))
         stories = stories.join(threads.select("id"), "id", "left_anti")
-        threads = upsert_threads(threads, latest_per_key(stories, ["id"], [F.desc("created_at")]))
+        newest = latest_per_key(stories, ["id"], [F.desc("_landed")])
+        threads = upsert_threads(threads, newest.drop("_landed"))
         chosen = thread_by_id(threads, thread_id)
     due = threads_to_fetch(chosen, force).select("id")
     landed = items.join(due, "id", "left_semi")
@@ -54,8 +56,8 @@ def ingest_posts(
     fetched = landed.select("id").distinct().withColumn("fetched_at", F.lit(run_ts))
     return PostIngest(
         threads=mark_fetched(threads, fetched),
-        posts=replace_on_key(posts, new_posts, ["id"], "fetched_at"),
-        new_posts=new_posts,
+        posts=replace_on_key(posts, new_posts, ["id"], "_landed"),
+        new_posts=new_posts.drop("_landed"),
     )
 
 

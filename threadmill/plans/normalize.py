@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as V
 from ..operators import documents as D
 from ..sources.dims import Dimensions
-from ..sources.tables import replace_partitions, replace_table, stage
+from ..sources.tables import keep_schema, replace_partitions, replace_table, stage
 
 
 @dataclass(frozen=True)
@@ -36,13 +36,13 @@ def normalize(
 ) -> NormalizedTables:
     """The four tables of one prompt version, with dense job ids.
 
-    Documents are decoded once and staged; the four tables and the two passes for the
-    ids read the staged columns they need.
+    Documents are decoded once and staged, and staged again with their ids, so that the
+    ids are counted once and the four tables are plain passes over files.
     """
     decoded = D.decoded_posts(D.extracted_posts(ledger, posts, threads, version))
     if staged:
         decoded = stage(decoded, "decoded")
-    return tables_from(decoded, dims, region_rules, only_job_postings)
+    return tables_from(decoded, dims, region_rules, only_job_postings, staged)
 
 
 def tables_from(
@@ -50,11 +50,16 @@ def tables_from(
     dims: Dimensions,
     region_rules: Mapping[str, Sequence[str]] = V.REMOTE_REGION_RULES,
     only_job_postings: bool = False,
+    staged: bool = False,
 ) -> NormalizedTables:
-    classified = decoded
     if only_job_postings:
-        decoded = decoded.filter(D.post_type() == "job_posting")
-    numbered = D.with_first_job_id(decoded)
+        # Other posts stay for the classification, but take no ids.
+        n_jobs = F.when(D.post_type() == "job_posting", F.col("n_jobs")).otherwise(0)
+        decoded = decoded.withColumn("n_jobs", n_jobs)
+    classified = D.with_first_job_id(decoded)
+    if staged:
+        classified = stage(classified, "numbered")
+    numbered = classified.filter("n_jobs > 0") if only_job_postings else classified
     return NormalizedTables(
         jobs=D.jobs(numbered, dims, region_rules),
         job_locations=D.job_locations(numbered, dims),
@@ -64,10 +69,14 @@ def tables_from(
 
 
 def write_tables(tables: NormalizedTables, folder: str, keep_other_versions: bool = False) -> None:
-    """Replace the four tables; only this version is left unless the others are kept."""
+    """Replace the four tables; only this version is left unless the others are kept.
+
+    They are partitioned by ``prompt_version`` either way, so both calls can be mixed.
+    """
     for name, df in tables.items():
         path = f"{folder.rstrip('/')}/{name}"
         if keep_other_versions:
             replace_partitions(df, path, ("prompt_version",))
         else:
-            replace_table(df, path)
+            replace_table(df, path, ("prompt_version",))
+        keep_schema(df, path, "prompt_version")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.measures import null_label, percent
 from ..functions.text import py_strip
 from ..operators.ordering import top_counts
+from ..sources.tables import stage
 from .stats import with_level
 
 
@@ -107,7 +108,8 @@ def report(
     """All sections in one long table: section, key, n, pct.
 
     Every table is read once for its counts: the jobs sections come from one pass with
-    grouping sets, and so do the two technology sections. Without ledger rows of the
+    grouping sets, and so do the two technology sections. These counts are staged, and the
+    sections read the files. Without ledger rows of the
     version the result is empty, as the tables hold nothing of that version.
     """
 
@@ -131,13 +133,13 @@ def report(
             F.count("salary_min").alias("with_salary"),
         )
     )
+    counted = stage(counted, "job-counts")
     # Bits of the set, left to right: title, month, visa; 0 marks the grouped column.
-    total = F.max(F.when(F.col("_set") == 7, F.col("n"))).over(W.partitionBy())
-    counted = counted.withColumn("jobs", total)
-    everything = counted.filter((F.col("_set") == 7) & (F.col("n") > 0))
+    everything = counted.filter((F.col("_set") == 7) & (F.col("n") > 0)).withColumn("jobs", F.col("n"))
     by_title = counted.filter((F.col("_set") == 3) & title.isNotNull()).withColumn("key", title)
     by_month = counted.filter(F.col("_set") == 5).withColumn("key", month)
     by_visa = counted.filter(F.col("_set") == 6).withColumn("key", null_label(visa))
+    by_visa = by_visa.withColumn("jobs", F.sum("n").over(W.partitionBy()))
 
     tech, raw, aliased = F.col("tech"), F.col("tech_raw"), F.col("aliased")
     named = (
@@ -145,6 +147,7 @@ def report(
         .groupingSets([[tech], [raw, aliased]], tech, raw, aliased)
         .agg(F.grouping_id().alias("_set"), F.count("*").alias("n"))
     )
+    named = stage(named, "technology-counts")
     by_tech = named.filter(F.col("_set") == 3).withColumn("key", tech)
     unmapped = named.filter((F.col("_set") == 4) & (aliased == 0)).withColumn("key", raw)
     cities = top_cities(of_version(locations, version)).withColumnRenamed("city", "key")

@@ -138,12 +138,14 @@ def built_in_prices(spark: SparkSession) -> DataFrame:
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
     """Price table from JSON, ``{model: {input_per_1m, output_per_1m}, ...}`` in one document.
 
-    An unreadable file gives an empty table, so that every cost is 0.
+    A missing file gives an empty table, so that every cost is 0; other errors are raised.
     """
     rates = "MAP<STRING, STRUCT<input_per_1m: DOUBLE, output_per_1m: DOUBLE>>"
     try:
         documents = spark.read.text(path, wholetext=True)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], PRICES)
     return documents.select(F.explode(F.from_json("value", rates)).alias("model", "rate")).select(
         "model",

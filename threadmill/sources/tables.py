@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _SCRATCH_KEY = "spark.checkpoint.dir"
 _local_scratch: dict[str, str] = {}
@@ -59,13 +60,28 @@ def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...])
     )
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Add one batch to a log table; a replayed batch overwrites only itself.
+def keep_schema(df: DataFrame, path: str, partition_by: str) -> None:
+    """Leave a file without rows in a partitioned table that has no file, so that it can be read."""
+    try:
+        df.sparkSession.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        folder = f"{path.rstrip('/')}/{partition_by}=__HIVE_DEFAULT_PARTITION__"
+        df.sparkSession.createDataFrame([], df.drop(partition_by).schema).write.mode("overwrite").parquet(folder)
 
-    A merge by key costs the size of the batch this way. ``merge.latest_per_key`` over
-    the log, newest batch first, gives the merged table.
+
+def append_batch(
+    df: DataFrame, path: str, batch_id: int, run: str = "0", partition_by: tuple[str, ...] = ()
+) -> None:
+    """Add one batch of a run to a log table; a replayed batch overwrites only itself.
+
+    ``run`` names the stream that counts the batches: two streams never share a partition. A
+    merge by key costs the size of the batch this way. ``merge.latest_per_key`` over the log,
+    newest rows first, gives the merged table.
     """
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+    batch = df.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")})
+    replace_partitions(batch, path, (*partition_by, "run", "batch_id"))
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:

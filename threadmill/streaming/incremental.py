@@ -1,9 +1,8 @@
 """Resumable ingest and extraction as streams over landed files.
 
-Both write one partition of a log table per micro-batch. A batch that is replayed
-after a failure overwrites its own partition, so nothing is counted twice, and the cost
-of a batch does not depend on the size of the table. The merged tables are the newest
-rows of the logs.
+Both write one partition of a log table per run and micro-batch; a run is a checkpoint. A
+batch that is replayed after a failure overwrites its own partition, so nothing is counted
+twice, and another checkpoint never touches it. The merged tables are the newest rows of the logs.
 """
 
 from __future__ import annotations
@@ -15,14 +14,14 @@ from typing import Any
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .. import fixed_values as V
 from ..operators.infer import Extractor, prepare, run_extractor
 from ..operators.merge import latest_per_key
 from ..operators.queue import posts_to_extract
 from ..schemas import LEDGER, POSTS, THREAD_ITEMS
-from ..sources.landed import thread_posts
+from ..sources.landed import thread_posts, with_file, with_landing
 from ..sources.tables import append_batch
 
 
@@ -35,16 +34,25 @@ def _start(stream: DataFrame, handle, checkpoint: str) -> StreamingQuery:
     )
 
 
+def _run_id(spark: SparkSession) -> str:
+    """Id of the query a batch belongs to: kept in its checkpoint, new with a new checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def ingest_stream(
     spark: SparkSession, landing: str, log: str, checkpoint: str, run_ts: str, files_per_batch: int = 1000
 ) -> StreamingQuery:
-    """Posts of all thread documents that landed since the last run."""
+    """Posts of all thread documents that landed since the last run; of equal ids in a batch the last."""
     items = (
         spark.readStream.schema(THREAD_ITEMS).option("maxFilesPerTrigger", files_per_batch).json(landing)
     )
-    return _start(
-        thread_posts(items, run_ts), lambda posts, batch: append_batch(posts, log, batch), checkpoint
-    )
+
+    def ingest_batch(landed: DataFrame, batch_id: int) -> None:
+        posts = thread_posts(with_landing(landed), run_ts)
+        newest = latest_per_key(posts, ["id"], [F.desc("_landed")]).drop("_landed")
+        append_batch(newest, log, batch_id, _run_id(landed.sparkSession))
+
+    return _start(with_file(items), ingest_batch, checkpoint)
 
 
 def extract_stream(
@@ -61,39 +69,48 @@ def extract_stream(
     files_per_batch: int = 1000,
     sleep: Callable[[float], Any] = time.sleep,
 ) -> StreamingQuery:
-    """Extraction of posts as they come in; posts the ledger already has are left out."""
+    """Extraction of posts as they come in; posts the ledger already has are left out.
+
+    Of the ledger log a batch reads the partitions of its version, and of their files those with
+    ids between the smallest and the largest of the batch.
+    """
     posts = (
         spark.readStream.schema(POSTS).option("maxFilesPerTrigger", files_per_batch).parquet(posts_log)
     )
 
     def extract_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        run = _run_id(session)
+        newest = latest_per_key(with_landing(batch), ["id"], [F.desc("fetched_at"), F.desc("_landed")])
+        low, high = batch.agg(F.min("id"), F.max("id")).first()
         # A replayed batch must not see its own earlier rows.
-        done = read_log(session, ledger_log, LEDGER).filter(F.col("batch_id") < batch_id)
-        newest = latest_per_key(batch, ["id"], [F.desc("fetched_at")])
+        own = (F.col("run") == run) & (F.col("batch_id") >= batch_id)
+        done = read_log(session, ledger_log, LEDGER).filter(~own & F.col("post_id").between(low, high))
         queue = posts_to_extract(newest, threads, done, version)
         rows = run_extractor(prepare(queue), extractor, prompt, version, run_ts, model, sleep=sleep)
-        append_batch(rows, ledger_log, batch_id)
+        append_batch(rows, ledger_log, batch_id, run, ("prompt_version",))
 
-    return _start(posts, extract_batch, checkpoint)
+    return _start(with_file(posts), extract_batch, checkpoint)
 
 
 def read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All rows of a log table with their ``batch_id``; an empty table where there is none yet."""
-    with_batch = StructType([*schema.fields, StructField("batch_id", LongType())])
+    """All rows of a log table with ``run`` and ``batch_id``; an empty table where there is none yet."""
+    with_batch = StructType([*schema.fields, StructField("run", StringType()), StructField("batch_id", LongType())])
     try:
         return spark.read.schema(with_batch).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], with_batch)
 
 
 def merged_posts(spark: SparkSession, log: str) -> DataFrame:
     """The posts table: of every post the row that landed last."""
-    newest = [F.desc("batch_id"), F.desc("fetched_at")]
+    newest = [F.desc("fetched_at"), F.desc("batch_id"), F.desc("run")]
     return latest_per_key(read_log(spark, log, POSTS), ["id"], newest).select(POSTS.names)
 
 
 def merged_ledger(spark: SparkSession, log: str) -> DataFrame:
-    newest = [F.desc("batch_id"), F.desc("created_at")]
+    newest = [F.desc("created_at"), F.desc("batch_id"), F.desc("run")]
     keys = ["post_id", "prompt_version"]
     return latest_per_key(read_log(spark, log, LEDGER), keys, newest).select(LEDGER.names)
