@@ -1,5 +1,128 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
+
+The comparison takes the plain way: all pairs, all positions, recursive reachability. The other
+queries depend on trained models or on a tokenizer and have none.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from threadmill.llm import leaks, nearjoin, repeats, vectors
+
+_WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}_]+'), lambda w: w <> '')"
+
+# Only labels below the own id are passed on: the smallest of a component is below all of them.
+_REACHED = """reached AS (
+    SELECT a AS id, a AS root FROM links
+    UNION
+    SELECT l.b, r.root FROM reached r JOIN links l ON r.id = l.a WHERE r.root < l.b
+), roots AS (SELECT id, min(root) AS root FROM reached GROUP BY id)"""
+
+_VECTORS = f"""
+WITH RECURSIVE good AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b
+    FROM good x JOIN good y ON x.label = y.label AND len(x.e) = len(y.e) AND x.vec_id <> y.vec_id
+    WHERE list_cosine_similarity(x.e, y.e) >= {vectors.SIMILARITY}
+), {_REACHED}, counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(root, vec_id)::BIGINT AS component_id,
+       coalesce(vec_id = coalesce(root, vec_id), true) AS kept
+FROM embeddings LEFT JOIN counts ON vec_id = a LEFT JOIN roots ON vec_id = id
+"""
+
+_JACCARD = f"""
+WITH RECURSIVE texts AS (SELECT doc_id, {_WORDS} AS w FROM documents), sets AS (
+    SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < {nearjoin.WORDS} THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - {nearjoin.WORDS} + 2), lambda i: array_to_string(w[i:i + {nearjoin.WORDS} - 1], ' ')) END)) AS s
+    FROM texts WHERE len(w) > 0 AND doc_id IS NOT NULL
+), classes AS (
+    SELECT s, min(doc_id) AS rep, count(*) AS size, len(any_value(s)) AS n FROM sets GROUP BY s
+), entries AS (SELECT rep, n, size, unnest(s) AS shingle FROM classes
+), pairs AS (
+    SELECT x.rep AS a, y.rep AS b, any_value(x.n) AS na, any_value(y.n) AS nb, any_value(y.size) AS size, count(*) AS c
+    FROM entries x JOIN entries y ON x.shingle = y.shingle AND x.rep <> y.rep GROUP BY x.rep, y.rep
+), links AS (SELECT a, b, size FROM pairs WHERE c::DOUBLE / (na + nb - c) >= {nearjoin.SIMILARITY}::DOUBLE
+), {_REACHED}, counts AS (SELECT a, sum(size) AS n FROM links GROUP BY a)
+SELECT d.doc_id, coalesce(rep, d.doc_id)::BIGINT AS class_id, coalesce(size, 1)::BIGINT AS class_size,
+       (coalesce(counts.n, 0) + coalesce(size, 1) - 1)::BIGINT AS n_links,
+       coalesce(root, rep, d.doc_id)::BIGINT AS component_id,
+       coalesce(d.doc_id = coalesce(root, rep, d.doc_id), true) AS kept
+FROM documents d LEFT JOIN sets ON d.doc_id = sets.doc_id LEFT JOIN classes ON sets.s = classes.s
+LEFT JOIN counts ON rep = a LEFT JOIN roots ON rep = id
+"""
+
+# Bytes are two hex digits each. Texts are cut twice, as a substring is looked up from the start.
+_REPEATS = f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), chunks AS (
+    SELECT rid, doc_id, base, substring(h, 2 * base + 1, 2 * (512 + {repeats.LENGTH} - 1)) AS c
+    FROM texts, unnest(range(0, greatest(length(h) // 2 - {repeats.LENGTH} + 1, 0), 512)) AS u(base)
+), strings AS (
+    SELECT rid, doc_id, base + o AS start, md5_number(substring(c, 2 * o + 1, 2 * {repeats.LENGTH})) AS s
+    FROM chunks, unnest(range(0, least(512, length(c) // 2 - {repeats.LENGTH} + 1))) AS v(o)
+), firsts AS (SELECT s, min(doc_id) AS least FROM strings GROUP BY s
+), covered AS (
+    SELECT rid, start, lag(start) OVER (PARTITION BY rid ORDER BY start) AS before
+    FROM strings JOIN firsts USING (s) WHERE least < doc_id
+), numbered AS (
+    SELECT rid, start,
+           sum((before IS NULL OR start > before + {repeats.LENGTH})::INT) OVER (PARTITION BY rid ORDER BY start) AS run
+    FROM covered
+), spans AS (SELECT rid, min(start) AS a, max(start) + {repeats.LENGTH} AS b FROM numbered GROUP BY rid, run
+), gaps AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS came FROM spans
+), cut AS (
+    SELECT rid, any_value(doc_id) AS doc_id, any_value(length(h)) // 2 AS n, coalesce(sum(b - a), 0) AS removed, count(a) AS n_spans,
+           coalesce(string_agg(substring(h, 2 * came + 1, 2 * (a - came)), '' ORDER BY a), '')
+               || substring(any_value(h), 2 * coalesce(max(b), 0) + 1) AS kept
+    FROM texts LEFT JOIN gaps USING (rid) GROUP BY rid
+)
+SELECT doc_id, n::BIGINT AS n_bytes, removed::BIGINT AS n_removed, n_spans::BIGINT AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM cut
+"""
+
+
+def _seed(k: int, mask: str) -> str:
+    """Rows of seeds of one mask from ``words`` by window functions."""
+    under = ", ".join(f"lead(w, {o}) OVER p" for o, bit in enumerate(mask) if bit == "1")
+    return (
+        f"SELECT side, rid, pos, {k} AS mask, {len(mask)} AS span, concat_ws(' ', {under}) AS seed FROM words "
+        f"WINDOW p AS (PARTITION BY side, rid ORDER BY pos) QUALIFY lead(w, {len(mask) - 1}) OVER p IS NOT NULL"
+    )
+
+
+_LEAKS = f"""
+WITH texts AS (
+    SELECT 0 AS side, row_number() OVER () AS rid, doc_id AS id, {_WORDS} AS ws FROM documents
+    UNION ALL
+    SELECT 1, row_number() OVER (), item_id, ws
+    FROM (SELECT DISTINCT item_id, {_WORDS} AS ws FROM benchmark) WHERE len(ws) >= {leaks.LEAST}
+), words AS (SELECT side, rid, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM texts
+), seeds AS ({" UNION ALL ".join(_seed(k, m) for k, m in enumerate(leaks.MASKS))}
+), hits AS (
+    SELECT x.rid AS doc, y.rid AS item, x.pos, y.pos AS item_pos, least(x.pos, y.pos, ({leaks.WINDOW} - x.span) // 2) AS before
+    FROM seeds x JOIN seeds y ON x.side = 0 AND y.side = 1 AND x.mask = y.mask AND x.seed = y.seed
+), windows AS (
+    SELECT DISTINCT d.id AS doc_id, i.id AS item_id, d.ws AS dw, i.ws AS iw, h.pos - before AS a, item_pos - before AS b,
+           least({leaks.WINDOW}, len(i.ws) - item_pos + before, len(d.ws) - h.pos + before) AS compared
+    FROM hits h JOIN texts d ON d.side = 0 AND d.rid = h.doc JOIN texts i ON i.side = 1 AND i.rid = h.item
+), judged AS (
+    SELECT doc_id, item_id, compared,
+           list_sum(list_transform(range(1, compared + 1), lambda j: (dw[a + j] = iw[b + j])::INT)) AS matched
+    FROM windows WHERE compared >= {leaks.LEAST}
+)
+SELECT doc_id, item_id, matched::INT AS matched, compared::INT AS compared
+FROM judged WHERE matched >= {leaks.SHARE}::DOUBLE * compared
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched / compared DESC, matched DESC, compared DESC) = 1
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_near_vectors": _VECTORS,
+    "op6_jaccard_join": _JACCARD,
+    "op8_repeats": _REPEATS,
+    "op9_benchmark_leaks": _LEAKS,
+}
