@@ -84,3 +84,22 @@ def test_all_operators_are_registered():
     names = set(entry_points.queries())
     assert "pipeline" in names
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_words_without_blanks_and_without_digits_are_candidates(docs_of):
+    secret = "04db1c5a1f4aa0e9feb9c88d2e61b7f3"
+    rows = [
+        (1, f'{{"email":"a@b.com","token":"{secret}"}}'), (2, f"a@b.com,{secret},10.0.0.1"), (3, "password: correcthorse"),
+        (4, f"id=7;access_token={secret}"), (5, "password=p:assw0rd,next"), (6, "please contact us or call me about the secret garden"),
+        (7, "name: Anna"), (8, "wrote to Mrs Quill today"),
+    ]
+    docs = docs_of(rows)
+    second = personal.with_spans(docs).collect()[1]["_candidates"]
+    assert [rows[1][1][c.start : c.stop] for c in second] == [secret]
+    got = {r.doc_id: r.text for r in personal.mask_documents(docs).collect()}
+    assert got[1] == '{"email":"[EMAIL]","token":"[OTHER]"}'
+    assert got[3] == "password: [OTHER]"
+    assert got[4] == "id=7;access_token=[OTHER]"
+    assert got[5] == "password=[OTHER],next"
+    assert got[6] == rows[5][1]
+    assert got[7] == "name: [OTHER]" and got[8] == "wrote to Mrs [OTHER] today"

@@ -1,7 +1,8 @@
 """Personal data in texts: four exact kinds, and more by weak supervision.
 
-The exact kinds are patterns with checks. Other words with a digit or an at sign are candidates:
-a pattern labeler, a gazetteer labeler and a context labeler vote on each, expectation-maximisation
+The exact kinds are patterns with checks. What is left of the text is cut at blanks, quotes, brackets,
+commas, ``=`` and ``:``; words with a digit or an at sign, words behind an announcing word and words of a
+gazetteer are candidates: a pattern labeler, a gazetteer labeler and a context labeler vote on each, expectation-maximisation
 over the votes of the whole corpus estimates how reliable each labeler is, and the resulting soft
 labels train a naive Bayes classifier of spans, which decides. DataFrame operations only; the
 driver sees counts of vote patterns and of feature combinations, both of fixed number.
@@ -23,13 +24,24 @@ _EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-
 _IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 _CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-_CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+
+# Where texts are cut. A value behind an announcing word may hold = and : itself.
+_ENDS = r"\s\"'`\u2018\u2019\u201c\u201d\u00ab\u00bb()\[\]{}<>,;"
+_CUTS = _ENDS + "=:"
+_BETWEEN = r"[\s\"'`\u2018\u2019\u201c\u201d\u00ab\u00bb:=>\\.#*-]"
 
 # Words that announce or rule out personal data, and prefixes of issued keys.
 ANNOUNCING = "password passwd pwd token secret key login user mail email phone tel call contact card account iban passport ssn"
 RULING_OUT = "version license licensed cc page chapter section article figure table vol no year"
 KEY_PREFIXES = "AKIA ASIA ghp_ gho_ xoxb- xoxp- sk- pk_ AIza eyJ"
 MAIL_WORDS = "mail gmail yahoo outlook hotmail icloud proton"
+TITLES = "Mr Mrs Ms Dr Prof Herr Frau Señor Señora Monsieur Madame Name name"
+GIVEN_NAMES = (
+    "James Robert Michael William Richard Joseph Thomas Charles Christopher Daniel Matthew Anthony Andrew Joshua Kenneth Kevin "
+    "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Margaret Sandra Ashley Emily Michelle Laura "
+    "Hans Klaus Jürgen Wolfgang Günther Stefan Andreas Ursula Monika Petra Sabine Anna Maria José Juan Carlos Javier Miguel "
+    "Carmen Isabel Lucía Pierre Jean Jacques François Philippe Nicolas Camille Chloé Mohammed Ahmed Fatima Wei Priya Olga Ivan"
+)
 
 
 def found(text: Column, pattern: str) -> Column:
@@ -93,17 +105,41 @@ def _any(words: str) -> str:
     return "(?:" + "|".join(w.replace(".", r"\.") for w in words.split()) + ")"
 
 
+def _words(words: str) -> str:
+    return rf"(?<![\p{{L}}\p{{N}}]){_any(words)}"
+
+
+_ANNOUNCED = rf"{_words(ANNOUNCING)}{_BETWEEN}"
+_TITLED = rf"{_words(TITLES + ' ' + GIVEN_NAMES)}[\s:=\"'.]{{1,4}}"
+_VALUE = rf"(?i)(?:{_ANNOUNCED}{{1,6}}+)+[^{_ENDS}]++"
+_VALUE_BEGINS = rf"(?i)^(?:{_ANNOUNCED}{{1,6}}+)+(?=[^{_ENDS}])"
+_LISTED = rf"{_any(GIVEN_NAMES)}(?![\p{{L}}\p{{N}}])[^{_CUTS}]*+|{_any(KEY_PREFIXES)}[A-Za-z0-9]{{8,}}[^{_CUTS}]*+"
+_NAMED = rf"{_TITLED}\p{{Lu}}[^{_CUTS}]*+"
+_NAMED_BEGINS = rf"^{_TITLED}(?=\p{{Lu}})"
+_WORD = rf"(?<![^{_CUTS}])(?:[^{_CUTS}0-9@]*+[0-9@][^{_CUTS}]*+|{_LISTED})"
+
+
 def _votes_and_features(text: Column, span: Column) -> Column:
     """Votes of the three labelers (1 personal, 0 not, 2 none) and the features of one candidate."""
     word = span["text"]
-    before = F.lower(F.substring(text, F.greatest(span["start"] - 23, F.lit(1)), F.least(span["start"], F.lit(24))))
+    cased = F.substring(text, F.greatest(span["start"] - 23, F.lit(1)), F.least(span["start"], F.lit(24)))
+    before = F.lower(cased)
     digits = F.length(_digits(word))
-    announced = before.rlike(rf"\b{_any(ANNOUNCING)}\W{{0,4}}$") | F.lower(word).rlike(rf"^\W*{_any(ANNOUNCING)}[=:]")
+    letters = ~word.rlike("[0-9@]")
+    assigned = before.rlike(rf"{_words(ANNOUNCING)}{_BETWEEN}{{0,5}}[:=]{_BETWEEN}{{0,5}}$")
+    # A word of letters behind nothing but a blank, as in "contact us", is not announced.
+    announced = F.when(letters, assigned).otherwise(before.rlike(rf"{_ANNOUNCED}{{1,6}}$"))
+    listed = word.rlike(rf"^{_any(GIVEN_NAMES)}(?![\p{{L}}\p{{N}}])")
+    titled = letters & word.rlike(r"^\p{Lu}") & cased.rlike(rf"{_TITLED}$")
     ruled_out = before.rlike(rf"\b{_any(RULING_OUT)}\W{{0,3}}$")
     issued = word.rlike(rf"(?:^|[^A-Za-z0-9]){_any(KEY_PREFIXES)}[A-Za-z0-9]{{8,}}")
     mailed = F.lower(word).rlike(rf"@[a-z0-9.-]*{_any(MAIL_WORDS)}")
     shape = (
         F.when(word.contains("@"), "at")
+        .when(letters & (listed | titled), "name")
+        .when(letters & assigned, "given")
+        .when(letters & issued, "issued")
+        .when(letters, "letters")
         .when(word.rlike("[A-Z][A-Z0-9]{15}"), "upper")
         .when(word.rlike("(?<![0-9a-f])(?=[0-9]*+[a-f])[0-9a-f]{16}"), "hex")
         .when(digits >= 9, "long")
@@ -112,33 +148,80 @@ def _votes_and_features(text: Column, span: Column) -> Column:
         .otherwise("mixed")
     )
     strong = shape.isin("upper", "hex") | word.rlike(r"^[^@\s]+@[^@\s]+\.[^@\s]+$")
-    weak = shape.isin("short", "decimal") | word.rlike(r"^[0-9\W]+$")
+    weak = shape.isin("short", "decimal", "letters") | word.rlike(r"^[0-9\W]+$")
     one, zero, none = F.lit("1"), F.lit("0"), F.lit("2")
     votes = F.concat(
         F.when(strong, one).when(weak, zero).otherwise(none),
-        F.when(issued | mailed, one).otherwise(none),
-        F.when(announced, one).when(ruled_out, zero).otherwise(none),
+        F.when(issued | mailed | listed, one).otherwise(none),
+        F.when(announced | titled, one).when(ruled_out, zero).otherwise(none),
     )
     size = F.least(F.floor(F.log2(F.length(word))), F.lit(7)).cast("string")
-    context = F.when(announced, "a").when(ruled_out, "r").otherwise("n")
+    context = F.when(announced | titled, "a").when(ruled_out, "r").otherwise("n")
     return F.struct(
         span["start"].alias("start"), span["stop"].alias("stop"), votes.alias("votes"),
         F.concat_ws("|", shape, size, context).alias("features"),
     )
 
 
+def _without(text: Column, spans: Column) -> Column:
+    """Text with every span replaced by commas of the same length, so that words end there."""
+
+    def step(state: Column, s: Column) -> Column:
+        start = F.greatest(s["start"], state["at"])
+        stop = F.greatest(s["stop"], state["at"])
+        piece = F.concat(F.substring(text, state["at"] + 1, start - state["at"]), F.repeat(F.lit(","), stop - start))
+        return F.struct(stop.alias("at"), F.concat(state["out"], piece).alias("out"))
+
+    cut = F.aggregate(
+        F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))),
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
+        lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))),
+    )
+    return F.when(F.size(spans) > 0, cut).otherwise(text)
+
+
+def _behind(text: Column, pattern: str, begins: str) -> Column:
+    """As ``found``, each match without what ``begins`` matches at its front."""
+
+    def behind(m: Column) -> Column:
+        n = F.length(F.regexp_extract(m["text"], begins, 0))
+        own = F.substring(m["text"], n + 1, F.length(m["text"]))
+        return F.struct((m["start"] + n).alias("start"), m["stop"].alias("stop"), own.alias("text"))
+
+    return F.transform(found(text, pattern), behind)
+
+
+def _bound(value: Column, function) -> Column:
+    """``function`` of a lambda variable that holds an array. As a plain column the optimizer may inline
+    the patterns behind it, which would then run once per use."""
+    return F.flatten(F.transform(F.array(value), function))
+
+
+def _free_words(text: Column, base: Column) -> Column:
+    """Candidates of the text between the exact spans: announced values, names behind titles, other words."""
+    rest = lambda left, spans: F.array(_without(left, spans))
+
+    def others(left: Column, own: Column) -> Column:
+        return F.concat(own, F.flatten(F.transform(rest(left, own), lambda t: found(t, _WORD))))
+
+    def named(left: Column) -> Column:
+        return _bound(_behind(left, _NAMED, _NAMED_BEGINS), lambda own: others(left, own))
+
+    def announced(left: Column) -> Column:
+        return _bound(
+            _behind(left, _VALUE, _VALUE_BEGINS),
+            lambda own: F.concat(own, F.flatten(F.transform(rest(left, own), named))),
+        )
+
+    return _bound(base, lambda spans: F.flatten(F.transform(rest(text, spans), announced)))
+
+
 def _add_spans(rows: DataFrame, text: str) -> DataFrame:
     """``rows`` with the exact kinds as ``_email`` and so on, and ``_candidates`` that touch none."""
     rows = rows.select("*", *[c.alias(f"_{k}") for k, c in base_spans(F.col(text)).items()])
-
-    def apart(c: Column, spans: Column) -> Column:
-        return ~F.exists(spans, lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"]))
-
-    # The spans are bound to a lambda variable: as a plain column the optimizer may inline their
-    # patterns, which would then run once per candidate.
-    base = F.array(F.concat(*[f"_{k}" for k in KINDS]))
-    free = F.flatten(F.transform(base, lambda spans: F.filter(found(F.col(text), _CANDIDATE), lambda c: apart(c, spans))))
-    return rows.withColumn("_candidates", F.transform(free, lambda c: _votes_and_features(F.col(text), c)))
+    free = _free_words(F.col(text), F.concat(*[f"_{k}" for k in KINDS]))
+    by_start = F.array_sort(free)
+    return rows.withColumn("_candidates", F.transform(by_start, lambda c: _votes_and_features(F.col(text), c)))
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
