@@ -6,7 +6,7 @@ queries depend on trained models or on a tokenizer and have none.
 
 from __future__ import annotations
 
-from threadmill.llm import leaks, nearjoin, repeats, vectors
+from threadmill.llm import leaks, mixing, nearjoin, negatives, repeats, vectors
 
 _WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}_]+'), lambda w: w <> '')"
 
@@ -120,9 +120,69 @@ FROM judged WHERE matched >= {leaks.SHARE}::DOUBLE * compared
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched / compared DESC, matched DESC, compared DESC) = 1
 """
 
+_NEGATIVES = f"""
+WITH good AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor({negatives.SCALE} * x::DOUBLE)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+           list_inner_product(a.e, b.e)::BIGINT AS score
+    FROM good a JOIN good b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+), positives AS (
+    SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= {negatives.POSITIVES}
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INTEGER AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND {negatives.BAND[0]} * positive_score <= {negatives.BAND[1]} * score
+  AND {negatives.BAND[1]} * score <= {negatives.BAND[1]} * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= {negatives.NEGATIVES}
+"""
+
+# The final clamps are the first sources by clamp over weight, as far as the rest's level is above them.
+_MIX = f"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+           ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, {mixing._HASH_DIGITS}))::BIGINT AS place
+    FROM documents
+), sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           [{", ".join(f"{w}.0::DOUBLE" for w in mixing.PATTERN)}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.PATTERN)} + 1] AS weight
+    FROM sized GROUP BY source
+), ordered AS (
+    SELECT *, {float(mixing.EPOCHS)}::DOUBLE * source_size AS cap,
+           row_number() OVER (ORDER BY source_size / weight, source) AS k FROM sources
+), levels AS (
+    SELECT *, sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words,
+           sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM ordered
+), first_free AS (
+    SELECT words, rest, k AS free FROM levels WHERE cap * rest > words * weight ORDER BY k LIMIT 1
+), plan AS (
+    SELECT source, source_size, CASE WHEN k < coalesce(free, 1e9) THEN cap ELSE weight * words::DOUBLE / rest END AS target
+    FROM ordered LEFT JOIN first_free ON true
+), wanted AS (
+    SELECT *, floor(target + 0.5)::BIGINT AS want FROM plan
+), drawn AS (
+    SELECT s.*, p.source_size, p.target, p.want,
+           coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gone
+    FROM sized s JOIN wanted p ON s.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target,
+       (CASE WHEN source_size = 0 THEN 0 ELSE want // source_size * size
+        + greatest(0, least(size, want % source_size - gone)) END)::BIGINT AS taken
+FROM drawn
+"""
+
 ORACLES: dict[str, str] = {
     "op5_near_vectors": _VECTORS,
     "op6_jaccard_join": _JACCARD,
     "op8_repeats": _REPEATS,
     "op9_benchmark_leaks": _LEAKS,
+    "op11_hard_negatives": _NEGATIVES,
+    "op12_source_mix": _MIX,
 }

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadmill.llm import language, leaks, nearjoin, packing, personal, quality, repeats, tokens, urls, vectors
+from threadmill.llm import (
+    language, leaks, mixing, nearjoin, negatives, packing, personal, quality, repeats, tokens, urls, vectors, whitening,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,10 +54,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.train(docs, labels))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_language_id, op3_url_filters, op4_personal_data, op5_near_vectors, op6_jaccard_join,
-        op7_token_counts, op8_repeats, op9_benchmark_leaks, op10_quality,
+        op7_token_counts, op8_repeats, op9_benchmark_leaks, op10_quality, op11_hard_negatives,
+        op12_source_mix, op13_whitening,
     )
 }
