@@ -344,6 +344,39 @@ _RUN = f"""
       select *, case when skipped then 'skipped_empty' when failed or limited then 'error' else 'ok' end as status
       from tried where thread_id in (select id from hiring))"""
 oracle("batch_inference", _RUN)
+oracle(
+    "checked_inference",
+    """
+    select post_id, status, error, case when status = 'ok' then chars // 4 end as input_tokens,
+      case when status = 'ok' then case when kind = 6 then 1 else 0 end end::int as roles,
+      case when status = 'ok' then case when kind in (0, 6) then 'job_posting' else 'seeking_work' end end as post_type,
+      case when status = 'ok' then 'unstated' end as stage,
+      case when status = 'ok' and kind not in (0, 6) then chars::varchar end as hint,
+      case when status = 'ok' and kind = 6 then 'other' end as title_guess,
+      case when status = 'ok' and kind = 6 then 120.5::double end as salary_max,
+      case when status = 'ok' and kind = 6 then 'unstated' end as salary_period
+    from (
+      select id as post_id, chars, chars % 11 as kind,
+        case when skipped then 'skipped_empty' when chars % 11 in (1, 2, 3, 4, 5, 7) then 'error' else 'ok' end as status,
+        case when not skipped then case chars % 11
+          when 1 then 'roles[0].title_raw: missing'
+          when 2 then 'company.stage: ''series_z'' is not allowed; visa_sponsorship: null instead of text'
+          when 3 then 'roles[0].salary.min: text instead of a number'
+          when 4 then 'locations: text instead of a list; technologies_raw[1]: null instead of text'
+          when 5 then 'answer: null instead of an object'
+          when 7 then 'workplace: null instead of an object; hiring_count_hint: number instead of text'
+        end end as error
+      from tried where thread_id in (select id from hiring))""",
+)
+oracle(
+    "resumed_extraction",
+    f"""
+    select id as post_id,
+      case when skipped then 'skipped_empty' when id % 3 = 1 and (failed or limited) then 'error' else 'ok' end as status,
+      case when skipped then null when id % 3 = 1 then case when not (failed or limited) then chars // 4 end else 2 end as input_tokens,
+      '{A.RUN_TS}' as created_at
+    from tried where thread_id in (select id from hiring)""",
+)
 _COUNTERS = """
     select count(*) as n, count(*) filter (status = 'ok') as ok, count(*) filter (status = 'error') as error,
       count(*) filter (status = 'skipped_empty') as skipped_empty,

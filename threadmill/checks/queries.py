@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.answers import document_check
 from ..functions.text import preview, with_plain_text
 from ..operators import documents as D
 from ..operators import infer, merge, quality, queue
@@ -280,6 +281,59 @@ def batch_inference(j):
     return _run(j)
 
 
+def uneven_extractor(text: str, prompt: str):
+    """Answers of which many do not fit the schema; the length of the text says which."""
+    n = len(text)
+    answers = {
+        0: {},
+        1: {"roles": [{"title_guess": "qa"}]},
+        2: {"company": {"name": "Acme", "stage": "series_z"}, "visa_sponsorship": None},
+        3: {"roles": [{"title_raw": "Cook", "salary": {"min": "lots", "period": "year"}}]},
+        4: {"locations": "Oslo", "technologies_raw": ["Go", None]},
+        5: None,
+        6: {"roles": [{"title_raw": "Cook", "salary": {"max": "120.5"}}], "mood": "good"},
+        7: {"workplace": None, "hiring_count_hint": n},
+    }
+    return answers.get(n % 11, {"post_type": "seeking_work", "hiring_count_hint": str(n)}), n // 4, n % 50
+
+
+@query
+def checked_inference(j):
+    """Answers that fail the check end as errors; the others are stored whole, with all defaults."""
+    prepared = infer.prepare(_queue(j, version="v3"))
+    rows = infer.run_extractor(
+        prepared, uneven_extractor, "prompt", "v3", RUN_TS, sleep=no_wait, check=document_check(complete=True)
+    )
+    role = F.try_element_at("doc.roles", F.lit(1))
+    return D.decode(stage(rows, "checked")).select(
+        "post_id", "status", "error", "input_tokens",
+        F.when(F.col("status") == "ok", F.size("doc.roles")).cast("int").alias("roles"),
+        F.col("doc.post_type").alias("post_type"), F.col("doc.company.stage").alias("stage"),
+        F.col("doc.hiring_count_hint").alias("hint"), role["title_guess"].alias("title_guess"),
+        role["salary"]["max"].alias("salary_max"), role["salary"]["period"].alias("salary_period"),
+    )
+
+
+def second_extractor(text: str, prompt: str):
+    return {"hiring_count_hint": "second"}, 2, 2
+
+
+@query
+def resumed_extraction(j):
+    """A run that ended after a third of its posts, started again: those keep their first answers."""
+    journal, ledger = scratch_path(j.spark, "journal"), j.ledger()
+    some = j.posts().filter("id % 3 = 1")
+    extraction.extract(
+        some, j.threads(), ledger, test_extractor, "prompt", RUN_TS, "v3", sleep=no_wait,
+        journal=journal, calls_per_commit=50,
+    )
+    run = extraction.extract(
+        j.posts(), j.threads(), ledger, second_extractor, "prompt", RUN_TS, "v3", sleep=no_wait,
+        journal=journal, calls_per_commit=50,
+    )
+    return run.ledger.filter("prompt_version = 'v3'").select("post_id", "status", "input_tokens", "created_at")
+
+
 @query
 def extraction_counters(j):
     return extraction.extract(

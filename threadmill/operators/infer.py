@@ -11,11 +11,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as V
+from ..functions.answers import document_check
 from ..functions.text import is_skipped, is_truncated, py_strip, truncate, with_plain_text
 from ..schemas import LEDGER
 
 # (text, prompt) -> (document, input tokens, output tokens); may raise.
 Extractor = Callable[[str, str], tuple[dict[str, Any], int, int]]
+# Returns the document as it is stored; raises for one that does not fit.
+Check = Callable[[Any], dict[str, Any]]
 
 _ANSWER = "raw_json string, input_tokens long, output_tokens long, status string, error string"
 
@@ -28,16 +31,24 @@ class RateLimited(Exception):
         self.retry_after = retry_after
 
 
-def attempt(extract: Extractor, text: str, prompt: str, sleep: Callable[[float], Any] = time.sleep):
+def attempt(
+    extract: Extractor,
+    text: str,
+    prompt: str,
+    sleep: Callable[[float], Any] = time.sleep,
+    check: Check | None = None,
+):
     """One ledger answer. Waits double from try to try; a failure is recorded, not raised.
 
     A turned-away call waits as long as it was told to, after the last try as well, and
-    leaves no error text of its own.
+    leaves no error text of its own. An answer that ``check`` raises for is a failed try.
     """
     wait, error = V.FIRST_BACKOFF_SECONDS, None
     for left in reversed(range(V.ATTEMPTS)):
         try:
             document, tokens_in, tokens_out = extract(text, prompt)
+            if check is not None:
+                document = check(document)
             return json.dumps(document), tokens_in, tokens_out, "ok", None
         except RateLimited as e:
             told = float(e.retry_after or wait)
@@ -71,10 +82,12 @@ def run_extractor(
     model: str = V.DEFAULT_MODEL,
     partitions: int | None = None,
     sleep: Callable[[float], Any] = time.sleep,
+    check: Check | None = document_check(),
 ) -> DataFrame:
     """Ledger rows for prepared posts; skipped posts get theirs without a call.
 
-    ``partitions`` spreads the calls evenly over that many tasks. The number of tasks
+    Only answers that pass ``check`` are ``ok``; one that fails uses up a try, and after the last
+    the row is an ``error`` with what is wrong. ``None`` takes any answer. ``partitions`` spreads the calls evenly over that many tasks. The number of tasks
     running at a time, and with it of concurrent calls, is the number of executor cores.
     """
     rows = prepared.select("id", F.when(~F.col("skipped"), F.col("text")).alias("text"))
@@ -86,7 +99,7 @@ def run_extractor(
             found = [
                 ("{}", None, None, "skipped_empty", None)
                 if text is None
-                else attempt(extract, text, prompt, sleep)
+                else attempt(extract, text, prompt, sleep, check)
                 for text in batch["text"]
             ]
             answer = pd.DataFrame(
@@ -107,11 +120,16 @@ def run_extractor(
 
 
 def extract_documents(
-    posts: DataFrame, extract: Extractor, prompt: str, sleep: Callable[[float], Any] = time.sleep
+    posts: DataFrame,
+    extract: Extractor,
+    prompt: str,
+    sleep: Callable[[float], Any] = time.sleep,
+    check: Check | None = document_check(),
 ) -> DataFrame:
     """(post_id, raw_json) for evaluation: never part of the ledger.
 
-    Whole texts, no gate on flags and a single try; short texts and failures give ``{}``.
+    Whole texts, no gate on flags and a single try; short texts, failures and answers that do not
+    pass ``check`` give ``{}``.
     """
     texts = with_plain_text(posts.select("id", "raw_html"), "raw_html").select(
         "id", F.when(F.length(py_strip(F.col("text"))) >= V.MIN_TEXT_CHARS, F.col("text")).alias("text")
@@ -119,7 +137,10 @@ def extract_documents(
 
     def one(text: str | None) -> str:
         try:
-            return "{}" if text is None else json.dumps(extract(text, prompt)[0])
+            if text is None:
+                return "{}"
+            document = extract(text, prompt)[0]
+            return json.dumps(document if check is None else check(document))
         except Exception:
             return "{}"
 

@@ -7,14 +7,18 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as V
 from ..functions.measures import token_cost
-from ..operators.infer import Extractor, error_rate, prepare, run_counters, run_extractor
-from ..operators.merge import replace_on_key
+from ..functions.answers import document_check
+from ..operators.infer import Check, Extractor, error_rate, prepare, run_counters, run_extractor
+from ..operators.merge import latest_per_key, replace_on_key
 from ..operators.queue import newest_first, posts_to_extract
-from ..sources.tables import stage
+from ..schemas import LEDGER
+from ..sources.tables import append_durably, read_or_empty, stage
+
+_KEY = ["post_id", "prompt_version"]
 
 
 class TooManyErrors(RuntimeError):
@@ -43,26 +47,45 @@ def extract(
     retry_errors: bool = False,
     partitions: int | None = None,
     sleep: Callable[[float], Any] = time.sleep,
+    check: Check | None = document_check(),
+    journal: str | None = None,
+    calls_per_commit: int = 200,
 ) -> Extraction:
     """Run the extractor over the queue; rows of the run, the new ledger, and counters.
 
     The rows are written to the scratch folder first: counters and ledger read them
-    back, and no model call is made twice for them.
+    back, and no model call is made twice for them. With ``journal``, a folder of this run, they are
+    written there in chunks of ``calls_per_commit`` posts, and a chunk counts as soon as it is written: after a
+    failure the same call goes on with the posts that no finished chunk has. Errors count as answers, too.
     """
     queue = posts_to_extract(posts, threads, ledger, version, month, force, retry_errors)
     if limit:
         queue = newest_first(queue, limit)
-    rows = stage(
-        run_extractor(prepare(queue), extractor, prompt, version, run_ts, model, partitions, sleep),
-        "extraction",
-    )
+
+    def answers(rows: DataFrame, tasks: int | None) -> DataFrame:
+        return run_extractor(prepare(rows), extractor, prompt, version, run_ts, model, tasks, sleep, check)
+
+    if journal is None:
+        rows = stage(answers(queue, partitions), "extraction")
+    else:
+        done = journal_rows(queue.sparkSession, journal).select(F.col("post_id").alias("id"))
+        left = stage(queue.join(done, "id", "left_anti"), "queue")
+        chunks = -(-left.count() // calls_per_commit)
+        if chunks:
+            append_durably(answers(left, max(chunks, partitions or 1)), journal)
+        rows = journal_rows(queue.sparkSession, journal)
     return Extraction(
         rows=rows,
-        ledger=replace_on_key(ledger, rows, ["post_id", "prompt_version"], "created_at"),
+        ledger=replace_on_key(ledger, rows, _KEY, "created_at"),
         counters=run_counters(rows),
     )
 
 
+def journal_rows(spark: SparkSession, journal: str) -> DataFrame:
+    """Answers of all finished chunks of a run, one per post: a chunk that ran twice counts once."""
+    return latest_per_key(read_or_empty(spark, journal, LEDGER), _KEY, [F.desc("created_at"), F.asc("status")])
+
+
 def check_error_rate(rows: DataFrame) -> None:
     """Raise when more than 5 % of a run failed. Brings one row to the driver."""
     rate = error_rate(rows).first()

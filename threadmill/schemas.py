@@ -86,3 +86,6 @@ ROLE_DOMAINS = {
     "salary.period": V.SALARY_PERIODS,
     "salary.equity": V.EQUITY_VALUES,
 }
+# Fields an answer must have, and what a missing field with a domain stands for if not "unstated".
+REQUIRED = ("roles.title_raw",)
+DEFAULTS = {"post_type": "job_posting", "roles.title_guess": "other"}

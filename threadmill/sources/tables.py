@@ -60,6 +60,26 @@ def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...])
     )
 
 
+def append_durably(df: DataFrame, path: str) -> None:
+    """Append ``df`` such that the rows of every finished task stay, whatever becomes of the job.
+
+    A task moves its file into the table when it commits, not when the job does. A failed job
+    leaves what its finished tasks wrote, and a task that is run again after that may leave
+    its rows twice: readers take one row per key. Needs a file system that renames files.
+    """
+    df.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(path)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table with this schema; without rows where there is no such folder yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def keep_schema(df: DataFrame, path: str, partition_by: str) -> None:
     """Leave a file without rows in a partitioned table that has no file, so that it can be read."""
     try:
