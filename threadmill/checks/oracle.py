@@ -221,6 +221,7 @@ oracle(
       case when id % 6 = 0 then '{LATEST}' when id % 2 = 0 then '{LATER}' else fetched_at end as fetched_at
     from posts where id % 4 <> 0 or id % 2 = 0""",
 )
+ORACLES["posts_merged_in_parts"] = ORACLES["posts_replace"]
 oracle(
     "ledger_replace",
     f"""
@@ -229,6 +230,7 @@ oracle(
       case when status = 'error' then '{LATER}' else created_at end as created_at
     from ledger""",
 )
+ORACLES["ledger_merged_in_parts"] = ORACLES["ledger_replace"]
 oracle(
     "threads_mark_fetched",
     f"""
@@ -244,6 +246,15 @@ oracle(
       is_deleted, is_dead, case when thread_id in {_DUE} then '{LATER}' else fetched_at end as fetched_at
     from posts where id % 4 <> 0 or thread_id in {_DUE}""",
 )
+oracle(
+    "posts_ingested_into_store",
+    f"""
+    select p.id, thread_id, case when thread_id in {_DUE} then author else 'first' end as author,
+      case when thread_id in {_DUE} then '{LATER}' else p.fetched_at end as fetched_at,
+      case when thread_id in {_DUE} then '{LATER}' else t.fetched_at end as thread_fetched_at
+    from posts p left join threads t on t.id = p.thread_id
+    where p.id % 4 <> 0 or thread_id in {_DUE}""",
+)
 oracle(
     "posts_ingest_marks",
     f"""
@@ -453,6 +464,17 @@ oracle(
     union all select 'job_technologies', 'v2', sum(n_jobs)::bigint from technologies_all where prompt_version = 'v2'
     union all select 'post_classification', 'v2', count(*) from docs_all where prompt_version = 'v2'""",
 )
+oracle(
+    "versions_side_by_side",
+    """
+    select step::int as step, table_name, prompt_version, n
+    from (values (0, 'v1'), (1, 'v1'), (1, 'v2'), (2, 'v2')) states(step, prompt_version) join (
+      select 'jobs' as table_name, prompt_version, count(*) as n from jobs_all group by prompt_version
+      union all select 'job_locations', prompt_version, sum(n_jobs)::bigint from locations_all group by prompt_version
+      union all select 'job_technologies', prompt_version, sum(n_jobs)::bigint from technologies_all group by prompt_version
+      union all select 'post_classification', prompt_version, count(*) from docs_all group by prompt_version
+    ) using (prompt_version)""",
+)
 oracle("technology_aliases", "select tech_raw, tech, aliased, count(*) as n from technologies group by all")
 oracle("places", "select city, region, country, sum(n_jobs)::bigint as n from locations group by all")
 oracle("salary_rules", "select post_id, role_pos, salary_period, salary_min, salary_max, salary_capped from jobs")

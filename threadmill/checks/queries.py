@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,6 +16,7 @@ from ..plans import extract as extraction
 from ..sources import landed
 from ..sources.adapters import RUN_TS, JobThreads
 from ..sources.dims import built_in_dimensions, built_in_prices
+from ..sources.snapshots import TableStore
 from ..sources.tables import read_table, replace_table, scratch_path, stage
 from ..streaming import incremental
 
@@ -130,6 +132,41 @@ def posts_replace(j):
     return merged.select("id", "thread_id", "author", "created_at", "raw_html", "fetched_at")
 
 
+@query
+def posts_merged_in_parts(j):
+    """As posts_replace, in a stored table of which each merge rewrites only the parts it has rows for."""
+    store = TableStore(j.spark, scratch_path(j.spark, "store"))
+    ingest.store_posts(store, _stored_posts(j), [F.desc("fetched_at")], ids_per_part=100)
+    for share, author, seen in ((2, "second", LATER), (6, "third", LATEST)):
+        rows = j.posts().filter(F.col("id") % share == 0)
+        rows = rows.withColumn("author", F.lit(author)).withColumn("fetched_at", F.lit(seen))
+        ingest.store_posts(store, rows, [F.desc("fetched_at")], ids_per_part=100)
+    return store.read("posts").select("id", "thread_id", "author", "created_at", "raw_html", "fetched_at")
+
+
+@query
+def posts_ingested_into_store(j):
+    """As posts_ingest, into stored tables."""
+    store = TableStore(j.spark, scratch_path(j.spark, "store"))
+    ingest.store_threads(store, j.threads())
+    ingest.store_posts(store, _stored_posts(j).withColumn("author", F.lit("first")), [F.desc("fetched_at")], 1000)
+    items = landed.read_thread_items(j.spark, _landed(j, j.landed_items(), "thread-items"))
+    ingest.ingest_posts_into(store, items, LATER, ids_per_part=1000)
+    marks = store.read("threads").select(F.col("id").alias("thread_id"), F.col("fetched_at").alias("thread_fetched_at"))
+    return store.read("posts").select("id", "thread_id", "author", "fetched_at").join(marks, "thread_id", "left")
+
+
+@query
+def ledger_merged_in_parts(j):
+    """As ledger_replace, in a stored table."""
+    store = TableStore(j.spark, scratch_path(j.spark, "store"))
+    extraction.store_answers(store, j.ledger(), ids_per_part=500)
+    rerun = j.ledger().filter("status = 'error'").withColumn("status", F.lit("ok"))
+    rerun = rerun.withColumn("error", F.lit(None).cast("string")).withColumn("created_at", F.lit(LATER))
+    extraction.store_answers(store, rerun, ids_per_part=500)
+    return store.read("ledger").select("post_id", "prompt_version", "status", "error", "created_at")
+
+
 @query
 def ledger_replace(j):
     rerun = (
@@ -423,6 +460,23 @@ def normalized_rebuild(j):
     return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
 
 
+@query
+def versions_side_by_side(j):
+    """Published for v1, then v2 next to it, then v2 alone; the tables as of each of the three states."""
+    store = TableStore(j.spark, scratch_path(j.spark, "published"))
+    steps = [("v1", ()), ("v2", None), ("v2", ())]
+    counts = []
+    for step, (version, kept) in enumerate(steps):
+        tables = normalize.normalize(j.ledger(), j.posts(), j.threads(), _dims(j), version)
+        state = normalize.publish_tables(tables, store, kept)
+        counts += [
+            store.read(name, at=state).groupBy("prompt_version").agg(F.count("*").alias("n"))
+            .select(F.lit(step).alias("step"), F.lit(name).alias("table_name"), "prompt_version", "n")
+            for name, _ in tables.items()
+        ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def technology_aliases(j):
     return _technologies(j).groupBy("tech_raw", "tech", "aliased").agg(F.count("*").alias("n"))

@@ -14,8 +14,10 @@ from ..functions.measures import token_cost
 from ..functions.answers import document_check
 from ..operators.infer import Check, Extractor, error_rate, prepare, run_counters, run_extractor
 from ..operators.merge import latest_per_key, replace_on_key
+from ..operators.ordering import ID_RANGE, id_range
 from ..operators.queue import newest_first, posts_to_extract
 from ..schemas import LEDGER
+from ..sources.snapshots import Snapshot, TableStore
 from ..sources.tables import append_durably, read_or_empty, stage
 
 _KEY = ["post_id", "prompt_version"]
@@ -86,6 +88,15 @@ def journal_rows(spark: SparkSession, journal: str) -> DataFrame:
     return latest_per_key(read_or_empty(spark, journal, LEDGER), _KEY, [F.desc("created_at"), F.asc("status")])
 
 
+def store_answers(store: TableStore, rows: DataFrame, ids_per_part: int = ID_RANGE) -> Snapshot:
+    """Merge ledger rows into the stored table ``ledger`` by post and version.
+
+    Parts are versions and ranges of posts; of a version that a run does not touch no file is read or written.
+    """
+    part = F.concat_ws("-", "prompt_version", id_range("post_id", ids_per_part))
+    return store.merge("ledger", rows, _KEY, part, [F.desc("created_at")])
+
+
 def check_error_rate(rows: DataFrame) -> None:
     """Raise when more than 5 % of a run failed. Brings one row to the driver."""
     rate = error_rate(rows).first()

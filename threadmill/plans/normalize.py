@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed_values as V
 from ..operators import documents as D
 from ..sources.dims import Dimensions
+from ..sources.snapshots import Snapshot, TableStore
 from ..sources.tables import keep_schema, replace_partitions, replace_table, stage
 
 
@@ -80,3 +81,12 @@ def write_tables(tables: NormalizedTables, folder: str, keep_other_versions: boo
         else:
             replace_table(df, path, ("prompt_version",))
         keep_schema(df, path, "prompt_version")
+
+
+def publish_tables(tables: NormalizedTables, store: TableStore, keep_versions: Sequence[str] | None = ()) -> Snapshot:
+    """Replace the four tables in one step; until its end, and after a failure, readers see the old ones.
+
+    Other versions are dropped but for those in ``keep_versions`` (``None``: all), whose files stay where
+    they are.
+    """
+    return store.replace(dict(tables.items()), "prompt_version", keep_versions)
