@@ -4,7 +4,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from threadmill.schemas import LEDGER, POSTS, THREADS
+from threadmill.schemas import LEDGER, LEDGER_LOG, POSTS, POSTS_LOG, THREADS
+from threadmill.sources.manifest import StateLog
 from threadmill.sources.tables import append_batch
 from threadmill.streaming import incremental as I
 
@@ -102,3 +103,91 @@ def test_the_post_that_lands_last_stays(spark, tmp_path):
 
 def test_log_that_does_not_exist_yet(spark, tmp_path):
     assert I.merged_posts(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_of_runs_with_one_time_the_later_one_counts(spark, tmp_path):
+    """The later run has one batch, the earlier one three; the order of their random ids does not matter."""
+    log = str(tmp_path / "log")
+    for turn in range(3):
+        landing = tmp_path / f"in{turn}"
+        landing.mkdir()
+        for name in "abc" if turn == 0 else "a":
+            _land(landing, f"{name}.json", 1, (ord(name), f"run{turn}"), (10, f"run{turn}{name}"))
+            os.utime(landing / f"{name}.json", (2_000_000_000 + 10 * turn + ord(name) % 10, 2_000_000_000 + 10 * turn + ord(name) % 10))
+        I.ingest_stream(spark, str(landing), log, str(tmp_path / f"state{turn}"), RUN, files_per_batch=1).awaitTermination()
+        got = {r.id: r.author for r in I.merged_posts(spark, log).collect()}
+        last = "run0c" if turn == 0 else f"run{turn}a"
+        assert got == {10: last, 97: f"run{turn}", 98: "run0", 99: "run0"}
+        I.compact_posts(spark, log, fan=2)
+        assert {r.id: r.author for r in I.merged_posts(spark, log).collect()} == got
+
+
+def _post_batches(spark, log, first, n):
+    """Batches in which post 0 comes each time and two posts are new."""
+    for number in range(first, first + n):
+        rows = [(i, 1, f"b{number}", "", "x", 0, 0, RUN, ((None, number), 0)) for i in (0, 2 * number + 1, 2 * number + 2)]
+        append_batch(spark.createDataFrame(rows, POSTS_LOG).coalesce(1), log, number, "run-a")
+
+
+def _opened(folder):
+    return len([1 for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")])
+
+
+def test_compaction_bounds_what_a_read_opens(spark, tmp_path):
+    log = str(tmp_path / "log")
+    assert I.compact_posts(spark, log) == 0
+    for turn in range(5):
+        _post_batches(spark, log, 4 * turn, 4)
+        parts = I.compact_posts(spark, log, fan=4)
+        # One part of tier 1 per turn; four of them become one of tier 2.
+        assert parts == (turn % 4 + 1 if turn < 3 else turn - 2)
+    _post_batches(spark, log, 20, 1)
+
+    def rows():
+        return sorted((r.id, r.author) for r in I.merged_posts(spark, log).collect())
+
+    want = sorted([(0, "b20")] + [(i, f"b{(i - 1) // 2}") for i in range(1, 43)])
+    assert rows() == want
+    # Merged batches are not opened: rubbish in their files does no harm. Nor is it once they are cleared.
+    merged = [d for d in (tmp_path / "log" / "run=run-a").iterdir() if d.name != "batch_id=20"]
+    assert len(merged) == 20
+    for folder in merged:
+        for file in folder.glob("*.parquet"):
+            file.write_bytes(b"rubbish")
+            (folder / f".{file.name}.crc").unlink(missing_ok=True)
+    assert rows() == want
+    assert I.clear_merged(spark, log) == 20 + 4
+    assert _opened(log) == 3 and rows() == want
+    # The log goes on as before.
+    _post_batches(spark, log, 21, 3)
+    assert I.compact_posts(spark, log, fan=4) == 3 and len(rows()) == 49
+
+
+def test_compaction_that_breaks_changes_nothing(spark, tmp_path, monkeypatch):
+    log = str(tmp_path / "log")
+    _post_batches(spark, log, 0, 5)
+    want = sorted(map(str, I.merged_posts(spark, log).collect()))
+
+    def broken(self, base, state):
+        raise OSError("broken")
+
+    with monkeypatch.context() as m:
+        m.setattr(StateLog, "store", broken)
+        with pytest.raises(OSError):
+            I.compact_posts(spark, log, fan=2)
+    assert sorted(map(str, I.merged_posts(spark, log).collect())) == want
+    assert I.compact_posts(spark, log, fan=2) == 1
+    assert sorted(map(str, I.merged_posts(spark, log).collect())) == want
+
+
+def test_ledger_log_is_compacted_by_post_and_version(spark, tmp_path):
+    posts_log, log = str(tmp_path / "posts"), str(tmp_path / "ledger")
+    threads = spark.createDataFrame([(1, "t", "hiring", "2020-01", "", None, None)], THREADS)
+    append_batch(spark.createDataFrame([(i, 1, "a", "", "x" * 60, 0, 0, RUN) for i in (1, 2)], POSTS), posts_log, 0)
+    for version in ("v1", "v2"):
+        _extract(spark, posts_log, threads, log, str(tmp_path / version), version, [])
+    assert I.compact_ledger(spark, log, fan=2) == 1 and I.clear_merged(spark, log) == 2
+    _extract(spark, posts_log, threads, log, str(tmp_path / "again"), "v1", [])
+    found = sorted((r.prompt_version, r.post_id) for r in I.merged_ledger(spark, log).collect())
+    assert found == [("v1", 1), ("v1", 2), ("v2", 1), ("v2", 2)]
+    assert I.read_log(spark, log, LEDGER_LOG).count() == 4

@@ -735,6 +735,12 @@ oracle(
 # --- streams ----------------------------------------------------------------------------------
 
 oracle("posts_stream", f"select {_POST} from posts where thread_id in (select id from threads)")
+oracle(
+    "posts_of_two_runs",
+    """
+    select id, thread_id, case when thread_id % 3 = 0 then 'late' else author end as author, fetched_at
+    from posts where thread_id in (select id from threads)""",
+)
 oracle(
     "ledger_stream",
     _RUN.replace("'v3' as", "'v1' as"),

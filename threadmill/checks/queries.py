@@ -13,6 +13,7 @@ from ..operators import documents as D
 from ..operators import infer, merge, quality, queue
 from ..plans import datasets, golden, ingest, normalize, report, stats
 from ..plans import extract as extraction
+from ..schemas import THREAD_ITEMS
 from ..sources import landed
 from ..sources.adapters import RUN_TS, JobThreads
 from ..sources.dims import built_in_dimensions, built_in_prices
@@ -770,6 +771,26 @@ def posts_stream(j):
     return incremental.merged_posts(j.spark, log)
 
 
+@query
+def posts_of_two_runs(j):
+    """Two runs with one time; the second one lands other authors for a third of the threads.
+
+    Their log is merged in tiers between and after them, so rows come from parts and from batches.
+    """
+    items = j.spark.read.schema(THREAD_ITEMS).json(_landed(j, j.landed_items(), "thread-items"))
+    late = items.filter("id % 3 = 0").withColumn(
+        "children", F.transform("children", lambda c: F.when(c.isNotNull(), c.withField("author", F.lit("late"))))
+    )
+    log = scratch_path(j.spark, "posts-log")
+    for rows, files, fan in ((items, 5, 3), (late, 2, 3)):
+        landing = scratch_path(j.spark, "thread-items")
+        rows.repartition(files).write.option("ignoreNullFields", "false").json(landing)
+        checkpoint = scratch_path(j.spark, "posts-checkpoint")
+        incremental.ingest_stream(j.spark, landing, log, checkpoint, RUN_TS, files_per_batch=1).awaitTermination()
+        incremental.compact_posts(j.spark, log, fan)
+    return incremental.merged_posts(j.spark, log).select("id", "thread_id", "author", "fetched_at")
+
+
 @query
 def ledger_stream(j):
     posts_log = scratch_path(j.spark, "posts")

@@ -12,6 +12,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 from . import fixed_values as V
@@ -34,6 +35,18 @@ LEDGER = struct(
     post_id=LONG, prompt_version=TEXT, schema_version=INT, model=TEXT, raw_json=TEXT,
     input_tokens=LONG, output_tokens=LONG, status=TEXT, error=TEXT, created_at=TEXT,
 )
+# Logs keep when a row landed: for posts the file (time, name, start), the place in it and in its document,
+# for ledger rows the start of the batch in microseconds.
+POSTS_LOG = StructType(
+    [
+        *POSTS.fields,
+        StructField(
+            "landed",
+            struct(document=struct(file=struct(time=TimestampType(), path=TEXT, start=LONG), place=LONG), child=INT),
+        ),
+    ]
+)
+LEDGER_LOG = StructType([*LEDGER.fields, StructField("landed", LONG)])
 DOCUMENT = struct(
     post_type=TEXT,
     company=struct(

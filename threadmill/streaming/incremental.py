@@ -11,18 +11,17 @@ import time
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .. import fixed_values as V
 from ..operators.infer import Extractor, prepare, run_extractor
 from ..operators.merge import latest_per_key
 from ..operators.queue import posts_to_extract
-from ..schemas import LEDGER, POSTS, THREAD_ITEMS
+from ..schemas import LEDGER, LEDGER_LOG, POSTS, POSTS_LOG, THREAD_ITEMS
 from ..sources.landed import thread_posts, with_file, with_landing
 from ..sources.tables import append_batch
+from .compaction import FAN, clear_merged, compact_log, read_log
 
 
 def _start(stream: DataFrame, handle, checkpoint: str) -> StreamingQuery:
@@ -49,7 +48,9 @@ def ingest_stream(
 
     def ingest_batch(landed: DataFrame, batch_id: int) -> None:
         posts = thread_posts(with_landing(landed), run_ts)
-        newest = latest_per_key(posts, ["id"], [F.desc("_landed")]).drop("_landed")
+        newest = latest_per_key(posts, ["id"], [F.desc("_landed")])
+        landed_at = F.col("_landed").cast(POSTS_LOG["landed"].dataType)
+        newest = newest.withColumn("landed", landed_at).drop("_landed")
         append_batch(newest, log, batch_id, _run_id(landed.sparkSession))
 
     return _start(with_file(items), ingest_batch, checkpoint)
@@ -85,32 +86,34 @@ def extract_stream(
         low, high = batch.agg(F.min("id"), F.max("id")).first()
         # A replayed batch must not see its own earlier rows.
         own = (F.col("run") == run) & (F.col("batch_id") >= batch_id)
-        done = read_log(session, ledger_log, LEDGER).filter(~own & F.col("post_id").between(low, high))
+        done = read_log(session, ledger_log, LEDGER_LOG).filter(~own & F.col("post_id").between(low, high))
         queue = posts_to_extract(newest, threads, done, version)
         rows = run_extractor(prepare(queue), extractor, prompt, version, run_ts, model, sleep=sleep)
+        rows = rows.withColumn("landed", F.lit(time.time_ns() // 1000))
         append_batch(rows, ledger_log, batch_id, run, ("prompt_version",))
 
     return _start(with_file(posts), extract_batch, checkpoint)
 
 
-def read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All rows of a log table with ``run`` and ``batch_id``; an empty table where there is none yet."""
-    with_batch = StructType([*schema.fields, StructField("run", StringType()), StructField("batch_id", LongType())])
-    try:
-        return spark.read.schema(with_batch).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], with_batch)
+def _newest(seen: str):
+    """Newest first. Runs may have the time of an earlier one: then what landed last is newer."""
+    return [F.desc(seen), F.desc_nulls_last("landed"), F.desc("run"), F.desc("batch_id")]
 
 
 def merged_posts(spark: SparkSession, log: str) -> DataFrame:
     """The posts table: of every post the row that landed last."""
-    newest = [F.desc("fetched_at"), F.desc("batch_id"), F.desc("run")]
-    return latest_per_key(read_log(spark, log, POSTS), ["id"], newest).select(POSTS.names)
+    return latest_per_key(read_log(spark, log, POSTS_LOG), ["id"], _newest("fetched_at")).select(POSTS.names)
 
 
 def merged_ledger(spark: SparkSession, log: str) -> DataFrame:
-    newest = [F.desc("created_at"), F.desc("batch_id"), F.desc("run")]
+    """The ledger: of every post and version the last answer; of runs with one time the later run's."""
     keys = ["post_id", "prompt_version"]
-    return latest_per_key(read_log(spark, log, LEDGER), keys, newest).select(LEDGER.names)
+    return latest_per_key(read_log(spark, log, LEDGER_LOG), keys, _newest("created_at")).select(LEDGER.names)
+
+
+def compact_posts(spark: SparkSession, log: str, fan: int = FAN) -> int:
+    return compact_log(spark, log, POSTS_LOG, ["id"], _newest("fetched_at"), fan)
+
+
+def compact_ledger(spark: SparkSession, log: str, fan: int = FAN) -> int:
+    return compact_log(spark, log, LEDGER_LOG, ["post_id", "prompt_version"], _newest("created_at"), fan)
