@@ -481,6 +481,18 @@ oracle("salary_rules", "select post_id, role_pos, salary_period, salary_min, sal
 oracle("currencies", "select salary_currency, count(*) as n from jobs group by all")
 oracle("remote_regions", "select remote_region, count(*) as n from jobs group by all")
 
+ORACLES["remote_regions_by_table"] = ORACLES["remote_regions"]
+oracle(
+    "first_phrases",
+    """
+    select d.doc_id, case when d.text <> '' then coalesce('doc ' || min(r.doc_id)::varchar, 'none') end as value
+    from documents d left join (
+      select doc_id, lower(substring(text, 7, (2 + doc_id % 40)::int)) as phrase from documents
+      where doc_id % 10 = 0 and substring(text, 7, (2 + doc_id % 40)::int) <> ''
+    ) r on contains(lower(d.text), r.phrase)
+    group by d.doc_id, d.text""",
+)
+
 # --- stats and reports ------------------------------------------------------------------------
 
 _PER_MONTH = """

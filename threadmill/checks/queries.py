@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.answers import document_check
 from ..functions.text import preview, with_plain_text
 from ..operators import documents as D
+from .. import fixed_values as V
 from ..operators import infer, merge, quality, queue
+from ..operators.phrases import phrase_table, with_first_phrase
 from ..plans import datasets, golden, ingest, normalize, report, stats
 from ..plans import extract as extraction
 from ..schemas import THREAD_ITEMS
@@ -505,6 +507,28 @@ def remote_regions(j):
     return _jobs(j).groupBy("remote_region").agg(F.count("*").alias("n"))
 
 
+@query
+def remote_regions_by_table(j):
+    """As remote_regions, with the phrases of the rules in a table."""
+    roles = _decoded(j, "roles", "workplace")
+    raw = roles.select("n_jobs", F.col("doc.workplace.remote_region_raw").alias("raw"))
+    rules = phrase_table(j.spark, V.REMOTE_REGION_RULES)
+    named = with_first_phrase(raw, "raw", rules, "remote_region", "other")
+    return named.groupBy("remote_region").agg(F.sum("n_jobs").alias("n"))
+
+
+@query
+def first_phrases(j):
+    """One phrase of every tenth document, looked up in all documents; the first by id counts."""
+    phrase = F.expr("substring(text, 7, cast(2 + doc_id % 40 as int))")
+    rules = j.table("documents").filter("doc_id % 10 = 0").select(
+        phrase.alias("phrase"), F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("value"),
+        F.col("doc_id").alias("priority"),
+    )
+    found = with_first_phrase(j.table("documents"), "text", rules, "value", "none")
+    return found.select("doc_id", "value")
+
+
 # --- stats and reports ------------------------------------------------------------------------
 
 
