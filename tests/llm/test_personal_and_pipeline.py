@@ -68,6 +68,34 @@ def test_reliable_votes_win():
     assert personal.reliabilities({}) == {}
 
 
+def test_truths_cannot_change_places():
+    """Most ones stand against zeros of the other labelers: unconstrained, they would become the rare truth's mirror."""
+    odd = {"100": 500, "010": 480, "001": 520, "000": 30, "111": 25, "110": 3}
+    belief = personal.reliabilities(odd)
+    assert belief["111"] >= belief["110"] >= belief["000"] and belief["111"] == max(belief.values())
+    for flipped in ({"011": 900, "100": 900}, {"111": 1, "000": 5000, "122": 2500}):
+        belief = personal.reliabilities(flipped)
+        for p in belief:
+            for k in range(3):
+                for q in belief:
+                    if q == p[:k] + "1" + p[k + 1 :] and p[k] == "0":
+                        assert belief[q] >= belief[p]
+    ratio = personal._log_ratios(dict.fromkeys("012", 1.0) | {"1": 0.1}, dict.fromkeys("012", 1.0) | {"0": 0.1})
+    assert ratio["1"] == 0.0 and ratio["0"] == 0.0
+
+
+def test_guards_are_necessary_conditions(docs_of):
+    """Whatever a pattern matches passes its guard: odd texts give the same spans as plain patterns, and candidates stay."""
+    texts = ["PASSWORD: Hunter2x", "Tel:+4412345678", "Mr. Quill Smith", "name Ünal", "José García", "x AKIA12345678ABCD y", "sk-abcdefgh12345678",
+             "1-2-3-4-5-6-7-8-9-0-1-2-3-4-5-6", "4539 1488 0343 6467", "1.22.333.44", "Übung 3.4.5 SECRET=abc", "plain words only"]
+    docs = docs_of(list(enumerate(texts)))
+    for r in personal.personal_spans(docs).collect():
+        assert [(s.kind, s.start, s.stop) for s in r.spans if s.kind != personal.OTHER] == _plain_spans(texts[r.doc_id])
+    words = [[texts[i][c.start : c.stop] for c in r["_candidates"]] for i, r in enumerate(personal.with_spans(docs).collect())]
+    assert words[0] == ["Hunter2x"] and words[2] == ["Quill"] and words[3] == ["Ünal"] and "García" in words[4]
+    assert words[5] == ["AKIA12345678ABCD"] and words[6] == ["sk-abcdefgh12345678"] and words[10] == ["3.4.5", "abc"] and words[11] == []
+
+
 def test_pipeline_keeps_columns_and_drops_the_right_rows(shipped, folder):
     docs = shipped.read.parquet(f"{folder}/documents.parquet")
     before = docs

@@ -1,3 +1,6 @@
+import time
+from itertools import combinations
+
 import numpy as np
 
 from threadmill.llm import leaks, nearjoin, repeats, vectors
@@ -124,3 +127,72 @@ def test_leaks_tolerate_replaced_words(docs_of, shipped):
         assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 0), (2, 2)]
     assert sorted(r.doc_id for r in leaks.drop_leaked(docs, bench).collect()) == [3, 4, 5, 6]
     assert leaks.leaked_passages(docs, bench.limit(0)).count() == 0
+
+
+def _best_plainly(doc, item, least=leaks.LEAST):
+    """(matched, compared) of the best stretch over all alignments, by trying all."""
+    best = None
+    if len(item) < leaks.SHORTEST:
+        return None
+    for shift in range(-len(item) + 1, len(doc)):
+        same = [doc[shift + j] == item[j] for j in range(max(0, -shift), min(len(item), len(doc) - shift))]
+        if len(item) < least:
+            if len(same) == len(item) and all(same):
+                best = max(best or (0, 0), (len(item), len(item)))
+            continue
+        for a in range(len(same)):
+            for b in range(a + least, len(same) + 1):
+                score = 5 * sum(same[a:b]) - 4 * (b - a)
+                if score >= 0:
+                    best = max(best or (-1, 0), (score, b - a))
+    return best and ((best[0] + 4 * best[1]) // 5 if len(item) >= least else best[0], best[1])
+
+
+def test_every_good_stretch_has_a_seed():
+    """All places of replaced words in stretches of 12 to 23 words; a longer good one holds one of these."""
+    for n in range(leaks.LEAST, 2 * leaks.LEAST):
+        for replaced in combinations(range(n), n - -(-n * 4 // 5)):
+            assert any(
+                all(bit == "0" or at + o not in replaced for o, bit in enumerate(mask))
+                for mask in leaks.MASKS for at in range(n - len(mask) + 1)
+            ), (n, replaced)
+
+
+def test_leaks_of_short_items_and_inner_runs(docs_of, shipped):
+    rng = np.random.default_rng(19)
+    words = [f"v{i}" for i in range(2000)]
+    pick = lambda n: list(rng.choice(words, n, replace=False))
+    items = {i: pick(n) for i, n in enumerate((5, 6, 10, 11, 12, 15, 30, 60))}
+    rows = [(100 + i, pick(20) + w + pick(20)) for i, w in items.items()]
+    # Runs of 12 to 15 words from the middle of an item, in the middle of a document; 9 of 12 are too few.
+    rows += [(200 + n, pick(30) + items[7][20 : 20 + n] + pick(30)) for n in (9, 12, 13, 15)]
+    # A short item with one word replaced, or cut off, is not there as a whole.
+    rows += [(300, pick(5) + items[2][:4] + ["x"] + items[2][5:]), (301, items[2][:9]), (302, items[1]), (303, items[0])]
+    rows += [(400, pick(9) + [w if k % 5 else "x" for k, w in enumerate(items[6])] + pick(9)), (401, items[6][::2])]
+    docs = docs_of([(i, " ".join(w)) for i, w in rows])
+    bench = shipped.createDataFrame([(i, " ".join(w), "z") for i, w in items.items()], "item_id long, text string, doc_id string")
+    want = {(d, i): _best_plainly(w, x) for d, w in rows for i, x in items.items()}
+    want = {k: v for k, v in want.items() if v}
+    assert (302, 1) in want and (212, 7) in want and (400, 6) in want and not {(303, 0), (300, 2), (301, 2), (209, 7)} & set(want)
+    for small in (leaks.SMALL, 0):
+        got = leaks.leaked_passages(docs, bench, small=small).collect()
+        assert {(r.doc_id, r.item_id): (r.matched, r.compared) for r in got} == want
+
+
+def test_leaks_of_repetitive_texts(docs_of, shipped):
+    rows = [(1, "spam " * 100_000), (2, "spam egg " * 500), (3, " ".join(f"w{i}" for i in range(50)))]
+    bench = shipped.createDataFrame([(1, "spam " * 60), (2, "egg spam " * 10)], "item_id long, text string")
+    began = time.time()
+    got = {(r.doc_id, r.item_id): (r.matched, r.compared) for r in leaks.leaked_passages(docs_of(rows), bench).collect()}
+    assert got == {(1, 1): (60, 60), (2, 2): (20, 20)}
+    assert time.time() - began < 40
+
+
+def test_leaks_of_empty_tables_and_clashing_columns(docs_of, shipped):
+    bench = shipped.createDataFrame([(1, "a b c d e f g", 0)], "item_id long, text string, words int")
+    assert leaks.leaked_passages(docs_of([]), bench).count() == 0
+    docs = docs_of([(1, "x a b c d e f g"), (None, "A-B-C-D-E-F-G"), (1, "other")])
+    clash = docs.selectExpr("*", "1 as item_id", "2 as at", "'m' as mask", "3 as hash", "4 as words")
+    got = sorted(map(tuple, leaks.leaked_passages(clash, bench).collect()), key=str)
+    assert got == [(1, 1, 7, 7), (None, 1, 7, 7)]
+    assert [r.doc_id for r in leaks.drop_leaked(clash, bench).collect()] == [None]

@@ -86,38 +86,41 @@ FROM cut
 """
 
 
-def _seed(k: int, mask: str) -> str:
-    """Rows of seeds of one mask from ``words`` by window functions."""
-    under = ", ".join(f"lead(w, {o}) OVER p" for o, bit in enumerate(mask) if bit == "1")
-    return (
-        f"SELECT side, rid, pos, {k} AS mask, {len(mask)} AS span, concat_ws(' ', {under}) AS seed FROM words "
-        f"WINDOW p AS (PARTITION BY side, rid ORDER BY pos) QUALIFY lead(w, {len(mask) - 1}) OVER p IS NOT NULL"
-    )
-
-
+# Any good stretch has three equal words in a row, so the plain way starts from those, at every alignment.
 _LEAKS = f"""
 WITH texts AS (
     SELECT 0 AS side, row_number() OVER () AS rid, doc_id AS id, {_WORDS} AS ws FROM documents
     UNION ALL
     SELECT 1, row_number() OVER (), item_id, ws
-    FROM (SELECT DISTINCT item_id, {_WORDS} AS ws FROM benchmark) WHERE len(ws) >= {leaks.LEAST}
-), words AS (SELECT side, rid, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM texts
-), seeds AS ({" UNION ALL ".join(_seed(k, m) for k, m in enumerate(leaks.MASKS))}
-), hits AS (
-    SELECT x.rid AS doc, y.rid AS item, x.pos, y.pos AS item_pos, least(x.pos, y.pos, ({leaks.WINDOW} - x.span) // 2) AS before
-    FROM seeds x JOIN seeds y ON x.side = 0 AND y.side = 1 AND x.mask = y.mask AND x.seed = y.seed
-), windows AS (
-    SELECT DISTINCT d.id AS doc_id, i.id AS item_id, d.ws AS dw, i.ws AS iw, h.pos - before AS a, item_pos - before AS b,
-           least({leaks.WINDOW}, len(i.ws) - item_pos + before, len(d.ws) - h.pos + before) AS compared
-    FROM hits h JOIN texts d ON d.side = 0 AND d.rid = h.doc JOIN texts i ON i.side = 1 AND i.rid = h.item
+    FROM (SELECT DISTINCT item_id, {_WORDS} AS ws FROM benchmark) WHERE len(ws) >= {leaks.SHORTEST}
+), words AS (SELECT side, rid, ws, unnest(range(len(ws))) AS pos FROM texts
+), runs AS (SELECT side, rid, pos, array_to_string(ws[pos + 1:pos + 3], ' ') AS run FROM words WHERE pos + 3 <= len(ws)
+), aligned AS (
+    SELECT DISTINCT x.rid AS doc, y.rid AS item, x.pos - y.pos AS shift
+    FROM runs x JOIN runs y ON x.side = 0 AND y.side = 1 AND x.run = y.run
+), placed AS (
+    SELECT d.id AS doc_id, i.id AS item_id, doc, item, shift, d.ws AS dw, i.ws AS iw,
+           unnest(range(greatest(0, -shift), least(len(i.ws), len(d.ws) - shift))) AS j
+    FROM aligned JOIN texts d ON d.side = 0 AND d.rid = doc JOIN texts i ON i.side = 1 AND i.rid = item
 ), judged AS (
-    SELECT doc_id, item_id, compared,
-           list_sum(list_transform(range(1, compared + 1), lambda j: (dw[a + j] = iw[b + j])::INT)) AS matched
-    FROM windows WHERE compared >= {leaks.LEAST}
+    SELECT doc_id, item_id, doc, item, shift, j, len(iw) AS n, dw[shift + j + 1] = iw[j + 1] AS same FROM placed
+), summed AS (
+    SELECT *, row_number() OVER w AS r, sum(CASE WHEN same THEN 1 ELSE -4 END) OVER w AS total
+    FROM judged WINDOW w AS (PARTITION BY doc, item, shift ORDER BY j ROWS UNBOUNDED PRECEDING)
+), lows AS (
+    SELECT *, least(0, min(total * 1000000 + r) OVER (PARTITION BY doc, item, shift ORDER BY j
+        ROWS BETWEEN UNBOUNDED PRECEDING AND {leaks.LEAST} PRECEDING)) AS low FROM summed
+), ends AS (
+    SELECT doc_id, item_id, r - (low % 1000000 + 1000000) % 1000000 AS compared,
+           total - (low - (low % 1000000 + 1000000) % 1000000) / 1000000 AS score
+    FROM lows WHERE r >= {leaks.LEAST} AND n >= {leaks.LEAST}
+    UNION ALL
+    SELECT any_value(doc_id), any_value(item_id), any_value(n), any_value(n)
+    FROM summed WHERE n < {leaks.LEAST} GROUP BY doc, item, shift HAVING count(*) = any_value(n) AND bool_and(same)
 )
-SELECT doc_id, item_id, matched::INT AS matched, compared::INT AS compared
-FROM judged WHERE matched >= {leaks.SHARE}::DOUBLE * compared
-QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched / compared DESC, matched DESC, compared DESC) = 1
+SELECT doc_id, item_id, ((score + 4 * compared) / 5)::INT AS matched, compared::INT AS compared
+FROM ends WHERE score >= 0
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY score DESC, compared DESC) = 1
 """
 
 _NEGATIVES = f"""

@@ -12,9 +12,13 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from threadmill.sources.tables import stage
+
 KINDS = ("email", "ip", "card", "phone")
 OTHER = "other"
 
@@ -44,8 +48,12 @@ GIVEN_NAMES = (
 )
 
 
-def found(text: Column, pattern: str) -> Column:
-    """Matches with places in code points: array of (start, stop, text); empty for no match."""
+def found(text: Column, pattern: str, guard: Column) -> Column:
+    """Matches with places in code points: array of (start, stop, text); empty for no match.
+
+    ``guard`` is a cheap condition that holds wherever the pattern matches: most texts fail it, and
+    the pattern never runs on them.
+    """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     empty = F.array().cast("array<struct<start:int,stop:int,text:string>>")
@@ -65,7 +73,11 @@ def found(text: Column, pattern: str) -> Column:
         step,
         lambda state: state["out"],
     )
-    return F.when(text.rlike(pattern), walk).otherwise(empty)
+    return F.when(guard & text.rlike(pattern), walk).otherwise(empty)
+
+
+def _contains_any(text: Column, words: str) -> Column:
+    return reduce(or_, [text.contains(w) for w in words.split()])
 
 
 def _digits(s: Column) -> Column:
@@ -91,13 +103,14 @@ def _small(part: Column) -> Column:
 def base_spans(text: Column) -> dict[str, Column]:
     """The exact kinds of a non-null text, failing matches dropped."""
     return {
-        "email": found(text, _EMAIL),
-        "ip": F.filter(found(text, _IP), lambda m: F.forall(F.split(m["text"], r"\."), _small)),
+        "email": found(text, _EMAIL, text.contains("@")),
+        "ip": F.filter(found(text, _IP, text.rlike(r"[0-9]\.[0-9]++\.[0-9]")), lambda m: F.forall(F.split(m["text"], r"\."), _small)),
         "card": F.filter(
-            found(text, _CARD),
+            # Matches with fewer digits fail their check.
+            found(text, _CARD, text.rlike(r"[0-9](?:[\x20-]?+[0-9]){15}")),
             lambda m: F.when(F.length(_digits(m["text"])).between(16, 19), _luhn(_digits(m["text"]))).otherwise(False),
         ),
-        "phone": F.filter(found(text, _PHONE), lambda m: F.length(_digits(m["text"])).between(8, 15)),
+        "phone": F.filter(found(text, _PHONE, text.contains("+")), lambda m: F.length(_digits(m["text"])).between(8, 15)),
     }
 
 
@@ -180,7 +193,14 @@ def _without(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, cut).otherwise(text)
 
 
-def _behind(text: Column, pattern: str, begins: str) -> Column:
+def _has_listed(text: Column) -> Column:
+    """Whether a name or prefix of the gazetteer is in the text; those with a capital by one pattern."""
+    words = (GIVEN_NAMES + " " + KEY_PREFIXES).split()
+    capital = " ".join(w for w in words if w[0].isupper())
+    return text.rlike(rf"(?=\p{{Lu}}){_any(capital)}") | _contains_any(text, " ".join(w for w in words if not w[0].isupper()))
+
+
+def _behind(text: Column, pattern: str, begins: str, guard: Column) -> Column:
     """As ``found``, each match without what ``begins`` matches at its front."""
 
     def behind(m: Column) -> Column:
@@ -188,7 +208,7 @@ def _behind(text: Column, pattern: str, begins: str) -> Column:
         own = F.substring(m["text"], n + 1, F.length(m["text"]))
         return F.struct((m["start"] + n).alias("start"), m["stop"].alias("stop"), own.alias("text"))
 
-    return F.transform(found(text, pattern), behind)
+    return F.transform(found(text, pattern, guard), behind)
 
 
 def _bound(value: Column, function) -> Column:
@@ -202,14 +222,16 @@ def _free_words(text: Column, base: Column) -> Column:
     rest = lambda left, spans: F.array(_without(left, spans))
 
     def others(left: Column, own: Column) -> Column:
-        return F.concat(own, F.flatten(F.transform(rest(left, own), lambda t: found(t, _WORD))))
+        words = lambda t: found(t, _WORD, t.rlike("[0-9@]") | _has_listed(t))
+        return F.concat(own, F.flatten(F.transform(rest(left, own), words)))
 
     def named(left: Column) -> Column:
-        return _bound(_behind(left, _NAMED, _NAMED_BEGINS), lambda own: others(left, own))
+        guard = _contains_any(left, TITLES) | _has_listed(left)
+        return _bound(_behind(left, _NAMED, _NAMED_BEGINS, guard), lambda own: others(left, own))
 
     def announced(left: Column) -> Column:
         return _bound(
-            _behind(left, _VALUE, _VALUE_BEGINS),
+            _behind(left, _VALUE, _VALUE_BEGINS, _contains_any(F.lower(left), ANNOUNCING)),
             lambda own: F.concat(own, F.flatten(F.transform(rest(left, own), named))),
         )
 
@@ -224,18 +246,20 @@ def _add_spans(rows: DataFrame, text: str) -> DataFrame:
     return rows.withColumn("_candidates", F.transform(by_start, lambda c: _votes_and_features(F.col(text), c)))
 
 
+_SPANS = [f"_{k}" for k in KINDS] + ["_candidates"]
+
+
 def with_spans(docs: DataFrame) -> DataFrame:
     """``_candidates`` with their votes and features, per row of ``docs``; null texts are empty."""
     return _add_spans(docs.select(F.coalesce("text", F.lit("")).alias("text")), "text").select("_candidates")
 
 
-def decided(rows: DataFrame, chosen: list[str], text: str, name: str) -> DataFrame:
-    """``rows`` and the column ``name``: all spans (kind, start, stop) of a non-null text column."""
-    spans = _add_spans(rows, text)
+def decided(spanned: DataFrame, chosen: list[str], name: str) -> DataFrame:
+    """Rows with spans and candidates; in their place the column ``name`` with all spans (kind, start, stop)."""
     parts = [F.transform(f"_{k}", _span(k)) for k in KINDS]
     kept = F.filter("_candidates", lambda c: c["features"].isin(chosen) if chosen else F.lit(False))
     parts.append(F.transform(kept, _span(OTHER)))
-    return spans.select(*rows.columns, F.concat(*parts).alias(name))
+    return spanned.withColumn(name, F.concat(*parts)).drop(*_SPANS)
 
 
 def reliabilities(patterns: dict[str, int], rounds: int = 50) -> dict[str, float]:
@@ -260,17 +284,26 @@ def reliabilities(patterns: dict[str, int], rounds: int = 50) -> dict[str, float
             for p, n in patterns.items():
                 yes[p[k]] += n * belief[p]
                 no[p[k]] += n * (1 - belief[p])
-            # A labeler is taken to be better than chance: more ones for personal data.
-            rates.append((yes, sum(yes.values()), no, sum(no.values())))
+            rates.append(_log_ratios(yes, no))
         for p in patterns:
-            odds = math.log(prior) - math.log(1 - prior)
-            for k in range(labelers):
-                yes, y, no, n = rates[k]
-                odds += math.log(yes[p[k]] / y) - math.log(no[p[k]] / n)
+            odds = math.log(prior) - math.log(1 - prior) + sum(rates[k][p[k]] for k in range(labelers))
             belief[p] = 1 / (1 + math.exp(-max(min(odds, 50), -50)))
     return belief
 
 
+def _log_ratios(yes: dict[str, float], no: dict[str, float]) -> dict[str, float]:
+    """What a labeler's vote says for personal data, from its weights of votes for either truth.
+
+    A labeler is no worse than chance: a one never speaks against personal data and a zero never for
+    it, whatever the votes of an odd corpus suggest. So the two truths cannot change places.
+    """
+    for v in "012":
+        yes[v], no[v] = yes[v], no[v]
+    y, n = sum(yes.values()), sum(no.values())
+    ratio = {v: math.log(yes[v] / y) - math.log(no[v] / n) for v in "012"}
+    return ratio | {"1": max(ratio["1"], 0.0), "0": min(ratio["0"], 0.0)}
+
+
 def train(spans: DataFrame) -> list[str]:
     """Feature combinations that the final classifier takes for personal data.
 
@@ -304,16 +337,16 @@ def train(spans: DataFrame) -> list[str]:
 
 
 def personal_spans(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text, spans)`` per row of ``docs``: spans of (kind, start, stop), base and other.
+    """``(doc_id, spans)`` per row of ``docs``: spans of (kind, start, stop), base and other.
 
     Ordered by kind (email, ip, card, phone, other), then start; places count code points, the
     stop is exclusive. Repeated rows give the same spans, other columns are ignored. Texts are
-    scanned twice, once to count votes over the whole corpus and once to decide; nothing but
-    counts is shuffled.
+    scanned once: their exact spans and candidates are written, the votes of the whole corpus are counted
+    from these, and they are decided from these. Nothing but counts is shuffled.
     """
-    chosen = train(with_spans(docs))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return decided(rows, chosen, "text", "spans")
+    spanned = stage(_add_spans(rows, "text").select("doc_id", *_SPANS), "spans")
+    return decided(spanned, train(spanned), "spans")
 
 
 def _span(kind: str):
@@ -358,8 +391,8 @@ def masked(text: Column, spans: Column) -> Column:
 
 def mask_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced and ``n_chars`` following; null stays null."""
-    chosen = train(with_spans(docs))
-    rows = decided(docs.withColumn("_text", F.coalesce("text", F.lit(""))), chosen, "_text", "_spans")
+    spanned = stage(_add_spans(docs.withColumn("_text", F.coalesce("text", F.lit(""))), "_text"), "spans")
+    rows = decided(spanned, train(spanned), "_spans")
     changed = F.size("_spans") > 0
     rows = rows.withColumn("_masked", F.when(changed, masked(F.col("_text"), F.col("_spans"))).otherwise(F.col("text")))
     fields = {
