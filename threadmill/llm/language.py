@@ -185,9 +185,10 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """Rows whose text has a language, with ``lang`` filled in where it is null.
+    """Rows whose text has a language, with the language found in place of ``lang``.
 
-    Rejected are null texts and texts without a letter; stated languages are kept as they are.
+    Rejected are null texts and texts without a letter. A stated language is a label to learn from; what the
+    text is found to be is what counts afterwards. Without any label ``lang`` stays as it is.
     """
     model = train(docs.select("doc_id", "text", "lang"))
     # Exploding an array of nothing or one keeps the rejection behind the model; a filter would be
@@ -197,4 +198,4 @@ def keep_identified(docs: DataFrame) -> DataFrame:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     answer = F.when(F.col("lang_pred") == UNKNOWN, F.array().cast("array<string>")).otherwise(F.array("lang_pred"))
     known = judged.select(*[c for c in docs.columns if c in judged.columns], F.explode(answer).alias("_found"))
-    return known.withColumn("lang", F.coalesce("lang", "_found")).select(docs.columns)
+    return known.withColumn("lang", F.col("_found")).select(docs.columns)
