@@ -31,12 +31,12 @@ def test_languages_are_learnt_and_texts_without_letters_unknown(docs_of):
 def test_language_stage_keeps_columns_and_fills_lang(docs_of):
     rows, langs = _docs(docs_of)
     langs.pop(3)
-    langs[10] = "aa"  # stated wrongly: the text is in the other one
+    langs[20] = "aa"  # stated wrongly, and held out of the training
     docs = docs_of([*rows, (900, "123")], langs)
     kept = language.keep_identified(docs)
     assert kept.columns == docs.columns
     found = {r.doc_id: r.lang for r in kept.collect()}
-    assert 900 not in found and found[3] == "aa" and found[10] == "bb" and len(found) == len(rows)
+    assert 900 not in found and found[3] == "aa" and found[20] == "bb" and len(found) == len(rows)
     assert all(found[i] == ("aa" if i % 2 else "bb") for i, _ in rows)
 
 

@@ -196,3 +196,52 @@ def test_leaks_of_empty_tables_and_clashing_columns(docs_of, shipped):
     got = sorted(map(tuple, leaks.leaked_passages(clash, bench).collect()), key=str)
     assert got == [(1, 1, 7, 7), (None, 1, 7, 7)]
     assert [r.doc_id for r in leaks.drop_leaked(clash, bench).collect()] == [None]
+
+
+def test_longest_previous_factors_against_plain_search():
+    rng = np.random.default_rng(21)
+    for n, alphabet, owners_up_to in ((1, 2, 3), (40, 2, 5), (300, 3, 40), (300, 1, 300), (200, 2, 1)):
+        strings = rng.integers(0, alphabet, (n, 9)).astype(np.uint8)
+        strings = strings[np.lexsort(strings.T[::-1])]
+        owners = rng.integers(0, owners_up_to, n)
+        prefix = lambda a, b: next((k for k in range(9) if a[k] != b[k]), 9)
+        want = [max([prefix(strings[i], strings[j]) for j in range(n) if owners[j] < owners[i]], default=0) for i in range(n)]
+        assert repeats.longest_previous(strings, owners).tolist() == want
+    # A chain of falling owners is leapt over in few rounds.
+    owners = np.arange(200_000)[::-1].copy()
+    at, common = repeats.smaller_neighbours(owners, np.full(len(owners), 5))
+    assert (at == -1).all() and (common == 0).all()
+
+
+def test_anchors_against_plain_search():
+    rng = np.random.default_rng(22)
+    power = 0x9E3779B97F4A7C15
+    for text in (b"", b"x" * 49, b"ab" * 25, bytes(rng.integers(0, 256, 700).astype(np.uint8)), b"a" * 500, bytes(rng.integers(0, 2, 900).astype(np.uint8))):
+        hashes, first, last = repeats.anchors(text)
+        own = []
+        for i in range(len(text) - 24):
+            h = 0
+            for byte in text[i : i + 25]:
+                h = (h * power + byte) % (1 << 64)
+            own.append(int(repeats.mixed(np.array([h], np.uint64))[0]) >> 16)
+        want = [min(range(s, s + 26), key=lambda i: (own[i], i)) for s in range(max(0, len(text) - 49))]
+        got = np.repeat(hashes, last - first + 1).tolist() if len(hashes) else []
+        assert got == [own[i] for i in want]
+
+
+def test_repeats_do_not_depend_on_the_number_of_shares(docs_of, monkeypatch):
+    rng = np.random.default_rng(23)
+    passages = ["".join(rng.choice(list("abcdefgh "), 80)) for _ in range(30)]
+    rows = [(i, " ".join(rng.choice(passages, 5)) + "".join(rng.choice(list("abcdefgh "), 400))) for i in range(300)]
+    seconds, found = {}, {}
+    for size in (repeats.BUCKET_BYTES, 400):
+        monkeypatch.setattr(repeats, "BUCKET_BYTES", size)
+        total = sum(len(t) for _, t in rows)
+        assert size > total or -(-total // size) >= 500
+        began = time.time()
+        # The shares of a batch are dealt out in one sort; the work of a task is the same for 12 and for 600.
+        deal = repeats.anchor_rows(docs_of(rows).coalesce(1), max(12, -(-total // size)), 50, 25).select("hashes").collect()
+        seconds[size] = time.time() - began
+        assert sum(len(r.hashes) for r in deal) > 0
+        found[size] = sorted(map(str, repeats.remove_repeats(docs_of(rows)).collect()))
+    assert found[400] == found[max(found)] and seconds[400] < 3 * seconds[max(seconds)] + 2

@@ -1,8 +1,8 @@
 """Removal of long byte strings that an earlier document already has.
 
-Longest previous factors: in suffix order, the entries before and after a position that belong to
+Longest previous factors: in suffix order, the nearest entries before and after a position that belong to
 smaller documents give its longest earlier match; a byte is removed if such a match of at least
-``length`` bytes covers it. The suffixes that can have one are found first: every string of
+``length`` bytes covers it. Pieces that are equal as a whole are settled first, by their bytes. The suffixes that can have one are found first: every string of
 ``length`` bytes picks its smallest hashed gram as an anchor, equal strings pick equal anchors, and
 only anchors that occur in two documents are followed up. Each task then orders the strings around
 its share of anchors.
@@ -25,7 +25,8 @@ BUCKET_BYTES = 48_000_000  # of text per share of anchors
 HOT = 4096  # documents of an anchor from which its strings are dealt out one by one
 _WINDOWS = 100_000
 _KEY = 6  # bytes of a hash that are kept
-_STEP = 1 << 20
+_BASE = 0x9E3779B97F4A7C15
+_BLOCK, _STEP = 1 << 20, 60_000
 
 _DUP_SCHEMA = "doc_id long, twice binary, hot binary"
 _SEGMENTS = "bucket int, doc_id long, keys binary, starts binary, sizes binary, data binary"
@@ -33,12 +34,33 @@ _SPANS = "doc_id long, starts binary, stops binary"
 
 
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """48-bit hash of every run of ``gram`` bytes."""
-    h = np.zeros(len(data) - gram + 1, np.uint64)
-    for i in range(gram):
-        h *= np.uint64(0x9E3779B97F4A7C15)
-        h += data[i : i + len(h)]
-    return mixed(h) >> np.uint64(16)
+    """48-bit hash of every run of ``gram`` bytes: a polynomial, put together from runs of powers of two."""
+    n = len(data) - gram + 1
+    run, size, done, total = data.astype(np.uint64), 1, 0, None
+    while True:
+        power = np.uint64(pow(_BASE, size, 1 << 64))
+        if gram & size:
+            part = run[done : done + n]
+            total, done = part if total is None else total * power + part, done + size
+        if 2 * size > gram:
+            return mixed(total) >> np.uint64(16)
+        run, size = run[:-size] * power + run[size:], 2 * size
+
+
+def _leftmost_least(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Place of the leftmost smallest of every ``width`` neighbouring 48-bit hashes."""
+    parts = []
+    for b in range(0, len(hashes) - width + 1, _STEP):
+        # The place in the lower 16 bits lets the minimum of both tell of the leftmost.
+        own = hashes[b : b + _STEP + width - 1]
+        least, size = (own << np.uint64(16)) | np.arange(len(own), dtype=np.uint64), 1
+        while 2 * size <= width:
+            least = np.minimum(least[:-size], least[size:])
+            size *= 2
+        if size < width:
+            least = np.minimum(least[: len(own) - width + 1], least[width - size :])
+        parts.append((least & np.uint64(0xFFFF)).astype(np.int64) + b)
+    return np.concatenate(parts)
 
 
 def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -49,12 +71,9 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
     """
     if len(data) < length:
         return (np.zeros(0, np.uint64),) + 2 * (np.zeros(0, np.int64),)
-    x, width, parts = np.frombuffer(data, np.uint8), length - gram + 1, []
-    hashes = np.concatenate([gram_hashes(x[b : b + _STEP + gram - 1], gram) for b in range(0, len(x) - gram + 1, _STEP)])
-    for b in range(0, len(hashes) - width + 1, _STEP):
-        view = np.lib.stride_tricks.sliding_window_view(hashes[b : b + _STEP + width - 1], width)
-        parts.append(view.argmin(axis=1) + np.arange(b, b + len(view)))
-    at = np.concatenate(parts)
+    x = np.frombuffer(data, np.uint8)
+    hashes = np.concatenate([gram_hashes(x[b : b + _BLOCK + gram - 1], gram) for b in range(0, len(x) - gram + 1, _BLOCK)])
+    at = _leftmost_least(hashes, length - gram + 1)
     first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
     return hashes[at[first]], first, np.append(first[1:], len(at)) - 1
 
@@ -88,16 +107,19 @@ def anchor_rows(docs: DataFrame, buckets: int, length: int, gram: int) -> DataFr
                     keys.append(found)
             if not ids:
                 continue
-            owner = np.repeat(np.arange(len(ids)), [len(k) for k in keys])
+            ids, owner = np.array(ids), np.repeat(np.arange(len(ids)), [len(k) for k in keys])
             flat = np.concatenate(keys)
-            share = (flat % np.uint64(buckets)).astype(np.int64)
+            # One sort deals out the batch, however many shares there are.
+            share = (flat % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(share, kind="stable")
+            flat, owner, share = flat[order], owner[order], share[order]
+            edges = np.flatnonzero(np.append(True, share[1:] != share[:-1]))
             out = []
-            for b in range(buckets):
-                own = np.flatnonzero(share == b)
-                if len(own):
-                    counts = np.bincount(owner[own], minlength=len(ids))
-                    seen = np.flatnonzero(counts)
-                    out.append((b, np.array(ids)[seen].astype("<i8").tobytes(), counts[seen].astype("<i4").tobytes(), _packed(flat[own])))
+            for a, z in zip(edges.tolist(), np.append(edges[1:], len(share)).tolist()):
+                new = np.flatnonzero(np.append(True, owner[a + 1 : z] != owner[a : z - 1]))
+                counts = np.diff(np.append(new, z - a))
+                seen = ids[owner[a:z][new]]
+                out.append((int(share[a]), seen.astype("<i8").tobytes(), counts.astype("<i4").tobytes(), _packed(flat[a:z])))
             yield pd.DataFrame(out, columns=["bucket", "doc_ids", "counts", "hashes"])
 
     return docs.mapInPandas(run, "bucket int, doc_ids binary, counts binary, hashes binary")
@@ -199,12 +221,43 @@ def hash_bytes(piece: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(piece, digest_size=6).digest(), "little")
 
 
+def smaller_neighbours(owners: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For entries in suffix order: the nearest one before with a smaller owner, and the common prefix with it.
+
+    ``common[i]`` is the common prefix of entries ``i - 1`` and ``i``. Every entry jumps from one candidate to the
+    candidate of that one; all it leaps over has owners that are no smaller, so the jumps double. Without
+    a smaller one before the result is -1 and 0.
+    """
+    at, prefix = np.arange(len(owners)) - 1, common.copy()
+    active = np.flatnonzero(at >= 0)
+    while len(active):
+        active = active[owners[at[active]] >= owners[active]]
+        via = at[active]
+        jumped, least = at[via], np.minimum(prefix[active], prefix[via])
+        at[active], prefix[active] = jumped, least
+        active = active[jumped >= 0]
+    prefix[at < 0] = 0
+    return at, prefix
+
+
+def longest_previous(ordered: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """Longest previous factor of every entry in suffix order, up to the width of ``ordered`` (entries x bytes):
+    the common prefix with the nearest entries before and after that belong to a smaller owner."""
+    n, width = ordered.shape
+    differ = ordered[1:] != ordered[:-1]
+    common = np.zeros(n, np.int64)
+    common[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    _, before = smaller_neighbours(owners, common)
+    # The same from the other end: entry i then stands behind entry i + 1.
+    _, after = smaller_neighbours(owners[::-1], np.append(0, common[1:][::-1]))
+    return np.maximum(before, after[::-1])
+
+
 def earlier_matches(pieces: list[bytes], owners: np.ndarray, length: int) -> list[np.ndarray]:
     """For every piece which of its strings of ``length`` bytes a smaller owner's piece has.
 
-    Suffix order of all string starts by their first ``length`` bytes. Entries with a common
-    prefix of that length lie side by side; among them the nearest ones before and after that
-    belong to a smaller owner exist exactly if the smallest owner of the run is smaller.
+    All string starts are put in suffix order by their first ``length`` bytes, which is as far as a match has
+    to go, and their longest previous factors are taken from their smaller neighbours in that order.
     """
     sizes = np.array([len(p) for p in pieces])
     counts = sizes - length + 1
@@ -213,13 +266,10 @@ def earlier_matches(pieces: list[bytes], owners: np.ndarray, length: int) -> lis
     piece = np.repeat(np.arange(len(pieces)), counts)
     ends = np.cumsum(counts)
     start = base[piece] + np.arange(ends[-1]) - (ends - counts)[piece]
-    strings = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(flat, length)[start]).view(f"V{length}").ravel()
-    order = np.argsort(strings, kind="stable")
-    ordered = strings[order]
-    runs = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-    least = np.minimum.reduceat(owners[piece][order], runs)
+    strings = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(flat, length)[start])
+    order = np.argsort(strings.view(f"V{length}").ravel(), kind="stable")
     found = np.empty(len(order), bool)
-    found[order] = np.repeat(least, np.diff(np.append(runs, len(order)))) < owners[piece][order]
+    found[order] = longest_previous(strings[order], owners[piece][order]) >= length
     return np.split(found, ends[:-1])
 
 
