@@ -150,20 +150,30 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
 
 
 class _Spans:
-    """Removed runs by document."""
+    """Removed runs by document; single ones and whole arrays of them."""
 
     def __init__(self) -> None:
-        self.by_doc: dict[int, list[tuple[int, int]]] = {}
+        self._one: list[tuple[int, int, int]] = []
+        self._many: list[np.ndarray] = []
 
     def add(self, doc_id: int, start: int, stop: int) -> None:
-        self.by_doc.setdefault(doc_id, []).append((start, stop))
+        self._one.append((doc_id, start, stop))
+
+    def add_all(self, doc_ids: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> None:
+        self._many.append(np.stack([doc_ids, starts, stops], axis=1))
 
     def rows(self) -> list[tuple[int, bytes, bytes]]:
-        out = []
-        for doc_id, spans in self.by_doc.items():
-            starts, stops = merged(np.array(spans, np.int64))
-            out.append((doc_id, starts.astype("<i8").tobytes(), stops.astype("<i8").tobytes()))
-        return out
+        """The runs of every document, merged; all documents are laid one behind the other for that."""
+        all_runs = np.concatenate([np.array(self._one, np.int64).reshape(-1, 3), *self._many])
+        if not len(all_runs):
+            return []
+        ids, rank = np.unique(all_runs[:, 0], return_inverse=True)
+        room = int(all_runs[:, 2].max()) + 2
+        starts, stops = merged(all_runs[:, 1:] + (rank * room)[:, None])
+        rank = starts // room
+        edges = np.searchsorted(rank, np.arange(len(ids) + 1))
+        starts, stops = (starts - rank * room).astype("<i8"), (stops - rank * room).astype("<i8")
+        return [(i, starts[a:z].tobytes(), stops[a:z].tobytes()) for i, a, z in zip(ids.tolist(), edges[:-1].tolist(), edges[1:].tolist())]
 
 
 def merged(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -253,8 +263,8 @@ def longest_previous(ordered: np.ndarray, owners: np.ndarray) -> np.ndarray:
     return np.maximum(before, after[::-1])
 
 
-def earlier_matches(pieces: list[bytes], owners: np.ndarray, length: int) -> list[np.ndarray]:
-    """For every piece which of its strings of ``length`` bytes a smaller owner's piece has.
+def earlier_matches(pieces: list[bytes], owners: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Piece and place of every string of ``length`` bytes that a smaller owner's piece has, too.
 
     All string starts are put in suffix order by their first ``length`` bytes, which is as far as a match has
     to go, and their longest previous factors are taken from their smaller neighbours in that order.
@@ -265,12 +275,12 @@ def earlier_matches(pieces: list[bytes], owners: np.ndarray, length: int) -> lis
     flat = np.frombuffer(b"".join(pieces), np.uint8)
     piece = np.repeat(np.arange(len(pieces)), counts)
     ends = np.cumsum(counts)
-    start = base[piece] + np.arange(ends[-1]) - (ends - counts)[piece]
+    place = np.arange(ends[-1]) - (ends - counts)[piece]
+    start = base[piece] + place
     strings = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(flat, length)[start])
     order = np.argsort(strings.view(f"V{length}").ravel(), kind="stable")
-    found = np.empty(len(order), bool)
-    found[order] = longest_previous(strings[order], owners[piece][order]) >= length
-    return np.split(found, ends[:-1])
+    found = order[longest_previous(strings[order], owners[piece][order]) >= length]
+    return piece[found], place[found]
 
 
 def _strings(batch: pd.DataFrame) -> Iterator[tuple[int, int, int, bytes]]:
@@ -308,10 +318,9 @@ def share_spans(batch: pd.DataFrame, length: int) -> pd.DataFrame:
             windows += len(distinct[end][3]) - length + 1
             end += 1
         part = distinct[begin:end]
-        matches = earlier_matches([r[3] for r in part], np.array([r[1] for r in part]), length)
-        for (_, d, s, _), found in zip(part, matches):
-            for i in np.flatnonzero(found).tolist():
-                spans.add(d, s + i, s + i + length)
+        owners, starts = np.array([r[1] for r in part], np.int64), np.array([r[2] for r in part], np.int64)
+        piece, place = earlier_matches([r[3] for r in part], owners, length)
+        spans.add_all(owners[piece], starts[piece] + place, starts[piece] + place + length)
         begin = end
     return pd.DataFrame(spans.rows(), columns=["doc_id", "starts", "stops"])
 
