@@ -477,6 +477,22 @@ oracle(
 )
 oracle("technology_aliases", "select tech_raw, tech, aliased, count(*) as n from technologies group by all")
 oracle("places", "select city, region, country, sum(n_jobs)::bigint as n from locations group by all")
+ORACLES["places_by_alias_files"] = ORACLES["places"]
+ORACLES["technology_aliases_by_file"] = ORACLES["technology_aliases"]
+ORACLES["ledger_cost_by_price_file"] = ORACLES["ledger_cost"]
+oracle(
+    "field_mismatches",
+    f"""
+    , good as (select post_id, d from ledger where prompt_version = 'v1' and status = 'ok' and payload = 'document'),
+    found as (
+      select 'post_type' as field, count(*) as n from good where post_id % 6 = 0 and {A.POST_FIELDS["post_type"]} is not null
+      union all select 'roles.salary.min', count(*) from good join positions on i < d % 4
+        where post_id % 6 = 1 and not ({A.SALARY_MISSING}) and {A.SALARY_FIELDS["min"]} is not null
+      union all select 'locations', count(*) from good where post_id % 6 = 2
+      union all select 'company', count(*) from good where post_id % 6 = 3 and not ({A.COMPANY_MISSING})
+      union all select 'technologies_raw', count(*) from good where post_id % 6 = 4 and not ({A.TECHNOLOGIES_MISSING}))
+    select field, n::bigint as mismatches from found where n > 0""",
+)
 oracle("salary_rules", "select post_id, role_pos, salary_period, salary_min, salary_max, salary_capped from jobs")
 oracle("currencies", "select salary_currency, count(*) as n from jobs group by all")
 oracle("remote_regions", "select remote_region, count(*) as n from jobs group by all")
@@ -679,6 +695,64 @@ oracle("golden_scores", _scores("quality = 0") + " select * from scores")
 oracle("golden_accuracy", _means("quality = 0"))
 oracle("golden_accuracy_with_unchanged", _means("true"))
 
+def _drafts() -> str:
+    from ..plans.golden import ACCURACY_FIELDS
+
+    flags = ", ".join(f"(g.{f} is not distinct from w.{f})::double as {f}" for f in ACCURACY_FIELDS)
+    return f"""
+    , pairs as (select doc_id as post_id, doc_id + 1 - quality as want_d from labels where quality = 0),
+    want as ({_compared("want_d")}),
+    drafted as (
+      select p.post_id, version, length(body) as n, length(body) >= 50 as good
+      from pairs p join posts on id = p.post_id, (values ('draft 1'), ('draft 2')) v(version)),
+    got as (
+      select post_id, version,
+        case when good then case when version = 'draft 2' then 'job_posting'
+          else ['job_posting', 'seeking_work', 'meta_or_other'][n % 3 + 1] end end as post_type,
+        case when good and version = 'draft 1' then 'Company ' || (n % 37)::varchar end as company_name,
+        null::varchar as workplace_policy,
+        case when good and version = 'draft 1' then ['yes', 'no', 'unstated'][n % 3 + 1] end as visa_sponsorship,
+        null::double as salary_min, null::double as salary_max,
+        case when good and version = 'draft 2' then greatest(n % 4, 1) else 1 end as roles_count,
+        null::varchar as title_guess,
+        case when not good then [] when version = 'draft 2' then ['python'] when n % 2 = 1 then ['python', 'golang'] else [] end as techs
+      from drafted),
+    sets as (
+      select post_id, version, {flags}, {_CANONICAL.format("g")} as got_set, {_CANONICAL.format("w")} as want_set
+      from got g join want w using (post_id)),
+    scores as (
+      select * exclude (got_set, want_set),
+        case when len(got_set) = 0 and len(want_set) = 0 then 1.0::double
+          else len(list_intersect(got_set, want_set)) / greatest(len(got_set), 1) end as tech_precision,
+        case when len(got_set) = 0 and len(want_set) = 0 then 1.0::double
+          else len(list_intersect(got_set, want_set)) / greatest(len(want_set), 1) end as tech_recall
+      from sets)"""
+
+
+def _measures() -> tuple[str, ...]:
+    from ..plans.golden import ACCURACY_FIELDS
+
+    return (*ACCURACY_FIELDS, "tech_precision", "tech_recall")
+
+
+oracle(
+    "golden_versions",
+    _drafts() + " union all ".join(
+        f" select version as prompt_version, '{f}' as field, round(avg({f}), 6) as score, count(*) as n from scores group by version"
+        for f in _measures()
+    ),
+)
+oracle(
+    "golden_version_changes",
+    _drafts() + " union all ".join(
+        f"""
+    select 'draft 2' as prompt_version, '{f}' as field, count(*) as n, count(*) filter (b.{f} > a.{f}) as gained,
+      count(*) filter (b.{f} < a.{f}) as lost, round(avg(a.{f}), 6) as base_score, round(avg(b.{f}), 6) as score
+    from scores a join scores b using (post_id) where a.version = 'draft 1' and b.version = 'draft 2' having count(*) > 0"""
+        for f in _measures()
+    ),
+)
+
 # --- data quality -----------------------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,7 +19,7 @@ from ..plans import extract as extraction
 from ..schemas import THREAD_ITEMS
 from ..sources import landed
 from ..sources.adapters import RUN_TS, JobThreads
-from ..sources.dims import built_in_dimensions, built_in_prices
+from ..sources.dims import built_in_dimensions, built_in_prices, read_dimensions, read_prices
 from ..sources.snapshots import TableStore
 from ..sources.tables import read_table, replace_table, scratch_path, stage
 from ..streaming import incremental
@@ -485,6 +486,54 @@ def technology_aliases(j):
     return _technologies(j).groupBy("tech_raw", "tech", "aliased").agg(F.count("*").alias("n"))
 
 
+def _alias_files(j: JobThreads) -> str:
+    """The alias tables as files of ``key: value`` lines, one of them with two sections."""
+    folder = scratch_path(j.spark, "aliases")
+
+    def lines(aliases, indent=""):
+        return [f'{indent}"{k}": "{v}"  # {n}' for n, (k, v) in enumerate(aliases.items())]
+
+    city = ["# cities", "aliases:", *lines(V.CITY_ALIASES, "  "), "", "city_country:", *lines(V.CITY_COUNTRIES, "  ")]
+    files = {"tech": lines(V.TECH_ALIASES), "city": city, "country": lines(V.COUNTRY_ALIASES), "currency": lines(V.CURRENCY_ALIASES)}
+    for name, content in files.items():
+        j.spark.createDataFrame([("\n".join(content),)], "value string").coalesce(1).write.text(f"{folder}/{name}")
+    return folder
+
+
+@query
+def places_by_alias_files(j):
+    places = D.post_locations(_decoded(j, "roles", "locations"), read_dimensions(j.spark, _alias_files(j)))
+    return places.groupBy("city", "region", "country").agg(F.sum("n_jobs").alias("n"))
+
+
+@query
+def technology_aliases_by_file(j):
+    named = D.post_technologies(_decoded(j, "roles", "technologies_raw"), read_dimensions(j.spark, _alias_files(j)))
+    return named.groupBy("tech_raw", "tech", "aliased").agg(F.count("*").alias("n"))
+
+
+@query
+def ledger_cost_by_price_file(j):
+    path = scratch_path(j.spark, "prices")
+    prices = {m: {"input_per_1m": a, "output_per_1m": b} for m, a, b in V.MODEL_PRICES}
+    j.spark.createDataFrame([(json.dumps(prices, indent=2),)], "value string").coalesce(1).write.text(path)
+    return extraction.ledger_cost(j.ledger(), read_prices(j.spark, path))
+
+
+@query
+def field_mismatches(j):
+    """Documents in which one field got a value of another kind, chosen by the post."""
+    changes = (
+        ('"post_type":"', '"post_type":7,"was":"'), ('"min":', '"min":"much","was":'), ('"locations":[', '"locations":{"a":1},"was":['),
+        ('"company":{', '"company":"Acme","was":{'), ('"technologies_raw":["', '"technologies_raw":[true,null,"'),
+    )
+    changed = F.col("raw_json")
+    for n, (old, new) in enumerate(changes):
+        changed = F.when(F.col("post_id") % 6 == n, F.replace("raw_json", F.lit(old), F.lit(new))).otherwise(changed)
+    rows = j.ledger().filter("prompt_version = 'v1' and status = 'ok'")
+    return quality.field_mismatches(rows.select(changed.alias("raw_json"))).filter("mismatches > 0")
+
+
 @query
 def places(j):
     return _locations(j).groupBy("city", "region", "country").agg(F.sum("n_jobs").alias("n"))
@@ -707,6 +756,40 @@ def golden_accuracy_with_unchanged(j):
     return scores.withColumn("score", F.round("score", 6))
 
 
+def first_draft(text: str, prompt: str):
+    """A version whose answers depend on the length of the text."""
+    n = len(text)
+    kinds = ("job_posting", "seeking_work", "meta_or_other")
+    return {
+        "post_type": kinds[n % 3], "company": {"name": f"Company {n % 37}"}, "visa_sponsorship": ("yes", "no", "unstated")[n % 3],
+        "technologies_raw": ["Python", " golang "] if n % 2 else [],
+    }, 1, 1
+
+
+def second_draft(text: str, prompt: str):
+    n = len(text)
+    return {"post_type": "job_posting", "technologies_raw": ["Python"], "roles": [{"title_raw": "x"}] * (n % 4)}, 1, 1
+
+
+def _draft_scores(j: JobThreads) -> DataFrame:
+    records = j.golden().join(j.posts().select(F.col("id").alias("post_id"), "raw_html"), "post_id")
+    drafts = {"draft 1": (first_draft, "p"), "draft 2": (second_draft, "p")}
+    predictions = golden.predict_versions(records, drafts)
+    return stage(golden.scored_versions(golden.labelled(records), predictions, list(drafts)), "scores")
+
+
+@query
+def golden_versions(j):
+    """Two drafts predict the golden posts and are scored over the same records."""
+    return golden.accuracy_of_versions(_draft_scores(j)).withColumn("score", F.round("score", 6))
+
+
+@query
+def golden_version_changes(j):
+    changes = golden.version_changes(_draft_scores(j), "draft 1")
+    return changes.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
+
+
 # --- data quality -----------------------------------------------------------------------------
 
 

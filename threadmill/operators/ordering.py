@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..sources.tables import stage
+
 ID_RANGE = 1 << 16
 SALTS = 64
 # Ranges are grouped this often before their sums meet in one task: of 64-bit ids, 2**15 groups are left.
@@ -34,14 +36,27 @@ def running_total_before(
     Sums are taken per range first, with map-side aggregation, and the ranges are summed in
     the same way in wider ranges, ``coarser`` times. Only the widest meet in one task, a number
     that does not depend on how sparse the ids are; each range is then summed for itself.
+
+    The sums per range are written once and all wider ones are made from them, so ``df`` is read twice:
+    for the sums, and for the rows.
     """
     names = list(ranges)
     ranged = df.select("*", *(c.alias(n) for n, c in ranges.items()))
-    sums = ranged.groupBy(*names).agg(F.sum(value).alias("_sum"))
+    sums = stage(ranged.groupBy(*names).agg(F.sum(value).alias("_sum")), "range-sums")
+    return _with_totals(ranged, sums, value, out, names, order, descending, coarser)
+
+
+def _with_totals(
+    ranged: DataFrame, sums: DataFrame, value: str, out: str, names: list[str], order: Sequence[Column],
+    descending: Sequence[str], coarser: int,
+) -> DataFrame:
     if coarser:
         wider = {f"{n}_": F.col(n) for n in names[:-1]} | {f"{names[-1]}_": id_range(names[-1])}
-        summed = running_total_before(
-            sums, "_sum", "_sum_before", wider, [F.asc(names[-1])], [f"{n}_" for n in descending], coarser - 1
+        in_wider = sums.select("*", *(c.alias(n) for n, c in wider.items()))
+        wider_sums = in_wider.groupBy(*wider).agg(F.sum("_sum").alias("_sum"))
+        summed = _with_totals(
+            in_wider, wider_sums, "_sum", "_sum_before", list(wider), [F.asc(names[-1])],
+            [f"{n}_" for n in descending], coarser - 1,
         )
         offsets = summed.select(*names, F.col("_sum_before").alias("_offset"))
     else:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.rules import salary_bounds
-from ..schemas import POST_DOMAINS, ROLE_DOMAINS
+from ..schemas import DOCUMENT, POST_DOMAINS, ROLE_DOMAINS
 
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str, name: str) -> DataFrame:
@@ -56,6 +56,53 @@ def undecodable(decoded_rows: DataFrame) -> DataFrame:
     )
 
 
+def field_mismatches(df: DataFrame, raw: str = "raw_json", schema: T.StructType = DOCUMENT) -> DataFrame:
+    """(field, mismatches): JSON values of another kind than the schema has at their place, by field.
+
+    Every text is parsed once, as a VARIANT, from which the kinds of all places are read; that includes numbers where
+    the schema has texts, which a typed parser would take as texts. Nulls and missing fields are
+    no mismatch, fields the schema does not know are ignored, and of a value of the wrong kind the
+    inner fields are not looked at. Texts that do not begin with a JSON object are left out; what stands behind
+    it is not looked at, see ``undecodable`` for that. List elements count each.
+    """
+    found = F.array(*(F.struct(F.lit(n).alias("field"), c.cast("long").alias("n")) for n, c in _mismatches(F.col("_v"), schema, "")))
+    parsed = df.select(F.try_parse_json(F.col(raw)).alias("_v"))
+    objects = parsed.select(F.explode(F.when(_kind(F.col("_v")) == "OBJECT", F.array("_v"))).alias("_v"))
+    return objects.select(F.inline(found)).groupBy("field").agg(F.sum("n").alias("mismatches"))
+
+
+def _kind(value: Column) -> Column:
+    """OBJECT, ARRAY, STRING, BOOLEAN, VOID, or a number's type; NULL for what is not there."""
+    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+
+
+def _mismatches(value: Column, kind: T.DataType, path: str) -> list[tuple[str, Column]]:
+    """Counts of mismatches at and below one place of the schema; 0 where the value is not there."""
+    is_a = {T.StructType: "OBJECT", T.ArrayType: "ARRAY", T.StringType: "STRING"}
+    own = _kind(value)
+    right = own.isin("BIGINT", "DOUBLE", "DECIMAL", "FLOAT") if isinstance(kind, T.DoubleType) else own == is_a[type(kind)]
+    counts = [(path, F.coalesce((~right & (own != "VOID")).cast("int"), F.lit(0)))] if path else []
+    if isinstance(kind, T.StructType):
+        for field in kind.fields:
+            inner = F.try_variant_get(value, f"$.{field.name}", "variant")
+            counts += _mismatches(inner, field.dataType, f"{path}.{field.name}" if path else field.name)
+    elif isinstance(kind, T.ArrayType):
+        elements = F.try_variant_get(value, "$", "array<variant>")
+        # An element's own counts come under the name of the list, its fields' below that.
+        for at, (name, _) in enumerate(_mismatches(value, kind.elementType, path)):
+            inside = F.transform(elements, _element_count(kind.elementType, path, at))
+            total = F.coalesce(F.aggregate(inside, F.lit(0), lambda a, x: a + x), F.lit(0))
+            if name == path:
+                counts[0] = (path, counts[0][1] + total)
+            else:
+                counts.append((name, total))
+    return counts
+
+
+def _element_count(kind: T.DataType, path: str, at: int):
+    return lambda x: _mismatches(x, kind, path)[at][1]
+
+
 def missing_required(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, missing): NULLs in columns that must not have any."""
     counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in columns))

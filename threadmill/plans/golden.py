@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .. import fixed_values as V
 from ..functions.measures import year_bucket
@@ -36,14 +38,16 @@ def stratified_ids(pool: DataFrame, n: int, seed: str = "") -> DataFrame:
     """(id, month, year): at most ``max(1, n // years)`` posts per year, ``n`` in all.
 
     A year with fewer posts is not made up for by others. The random order is that of a
-    hash, so the sample is the same every time.
+    hash, so the sample is the same every time. The pool is read once: the first ``n`` of every year
+    are kept, and these few rows tell the number of years.
     """
     keyed = pool.select(
         "id", "month", year_bucket(F.col("month")).alias("year"), sample_key(F.col("id"), seed).alias("_key")
     )
     order = [F.col("_key"), F.col("id")]
-    years = keyed.select("year").distinct().count()
-    chosen = first_rows_per_group(keyed, ["year"], order, max(1, n // max(1, years)), F.col("id"))
+    kept = first_rows_per_group(keyed, ["year"], order, max(1, n), F.col("id"))
+    years = F.size(F.collect_set("year").over(W.partitionBy(F.lit(0))))
+    chosen = kept.withColumn("_years", years).filter(F.col("rank") <= F.greatest(F.lit(1), F.floor(F.lit(n) / F.col("_years"))))
     return chosen.orderBy(*order).limit(n).select("id", "month", "year")
 
 
@@ -120,16 +124,19 @@ def canonical_tech(names: Column, aliases: dict[str, str] | None = None) -> Colu
 
 
 def scored(
-    golden: DataFrame, predictions: DataFrame, aliases: dict[str, str] | None = None
+    golden: DataFrame,
+    predictions: DataFrame,
+    aliases: dict[str, str] | None = None,
+    keys: Sequence[str] = ("post_id",),
 ) -> DataFrame:
     """Per record: a match flag for every field, and technology precision and recall.
 
     Records without a prediction are compared with an empty one. Two missing values match.
     """
-    pairs = golden.join(predictions, "post_id", "left")
+    pairs = golden.join(predictions, list(keys), "left")
     got, want = _compared("prediction"), _compared("expected")
     sets = pairs.select(
-        "post_id",
+        *keys,
         *(got[f].eqNullSafe(want[f]).cast("double").alias(f) for f in ACCURACY_FIELDS),
         canonical_tech(F.col("prediction.technologies_raw"), aliases).alias("_got"),
         canonical_tech(F.col("expected.technologies_raw"), aliases).alias("_want"),
@@ -141,7 +148,7 @@ def scored(
         return F.when(both_empty, 1.0).otherwise(common / F.greatest(F.size(of), F.lit(1)))
 
     return sets.select(
-        "post_id",
+        *keys,
         *ACCURACY_FIELDS,
         ratio("_got").alias("tech_precision"),
         ratio("_want").alias("tech_recall"),
@@ -154,3 +161,59 @@ def accuracy(scores: DataFrame, version: str = "v1") -> DataFrame:
     means = scores.agg(F.count("*").alias("n"), *(F.avg(f).alias(f) for f in fields))
     rows = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("score")) for f in fields))
     return means.filter("n > 0").select(F.lit(version).alias("prompt_version"), F.inline(rows), "n")
+
+
+_MEASURES = (*ACCURACY_FIELDS, "tech_precision", "tech_recall")
+
+
+def predict_versions(golden: DataFrame, versions: Mapping[str, tuple[Extractor, str]]) -> DataFrame:
+    """(post_id, prompt_version, prediction) for golden posts by several extractors and prompts."""
+    parts = [
+        predict(golden, extractor, prompt).withColumn("prompt_version", F.lit(version))
+        for version, (extractor, prompt) in versions.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def scored_versions(
+    golden: DataFrame, predictions: DataFrame, versions: Sequence[str], aliases: dict[str, str] | None = None
+) -> DataFrame:
+    """As ``scored``, per record and version: one join over all versions.
+
+    ``predictions`` has a ``prompt_version``; a record that a version has no prediction for is compared with
+    an empty one there, so every version is judged by the same records.
+    """
+    asked = F.explode(F.array(*(F.lit(v) for v in versions)))
+    return scored(golden.withColumn("prompt_version", asked), predictions, aliases, ("post_id", "prompt_version"))
+
+
+def accuracy_of_versions(scores: DataFrame) -> DataFrame:
+    """(prompt_version, field, score, n) for all versions in one aggregation."""
+    means = scores.groupBy("prompt_version").agg(F.count("*").alias("n"), *(F.avg(f).alias(f) for f in _MEASURES))
+    rows = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("score")) for f in _MEASURES))
+    return means.select("prompt_version", F.inline(rows), "n")
+
+
+def version_changes(scores: DataFrame, base: str) -> DataFrame:
+    """(prompt_version, field, n, gained, lost, base_score, score) of every other version against ``base``.
+
+    Records are paired: ``gained`` counts those that score more than under the base, ``lost`` those that score
+    less. Two versions with equal means may differ in many records, which only these counts show. A record is
+    one row with the scores of its versions; there is no join.
+    """
+    measures = F.struct(*_MEASURES)
+    by_record = scores.groupBy("post_id").agg(
+        F.max(F.when(F.col("prompt_version") == base, measures)).alias("old"),
+        F.collect_list(F.when(F.col("prompt_version") != base, F.struct("prompt_version", measures.alias("new")))).alias("others"),
+    )
+    pairs = by_record.where(F.col("old").isNotNull()).select("old", F.inline("others"))
+    long = F.array(
+        *(F.struct(F.lit(f).alias("field"), F.col(f"old.{f}").alias("before"), F.col(f"new.{f}").alias("after")) for f in _MEASURES)
+    )
+    return pairs.select("prompt_version", F.inline(long)).groupBy("prompt_version", "field").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("after") > F.col("before")).alias("gained"),
+        F.count_if(F.col("after") < F.col("before")).alias("lost"),
+        F.avg("before").alias("base_score"),
+        F.avg("after").alias("score"),
+    )

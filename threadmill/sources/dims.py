@@ -78,6 +78,18 @@ def read_aliases(
     return entries.groupBy(key.alias("alias")).agg(F.max_by("canonical", "line_no").alias("canonical"))
 
 
+def read_dimensions(spark: SparkSession, folder: str) -> Dimensions:
+    """The alias tables from files: tech, city (with section ``city_country``), country and currency."""
+    folder = folder.rstrip("/")
+    return Dimensions(
+        tech=read_aliases(spark, f"{folder}/tech"),
+        city=read_aliases(spark, f"{folder}/city", "aliases"),
+        city_country=read_aliases(spark, f"{folder}/city", "city_country", lower_keys=False),
+        country=read_aliases(spark, f"{folder}/country"),
+        currency=read_aliases(spark, f"{folder}/currency"),
+    )
+
+
 def look_up(
     df: DataFrame, raw: str, dim: DataFrame, out: str, *, lower: bool = True, strip: bool = True
 ) -> DataFrame:
