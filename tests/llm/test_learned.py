@@ -1,4 +1,9 @@
+import math
+import random
+from collections import Counter
+
 import numpy as np
+from pyspark.sql import functions as F
 
 from threadmill.llm import language, quality, urls
 
@@ -86,3 +91,72 @@ def test_url_rules_and_parts(shipped):
     assert got[1].verdict == "block" and got[8].verdict == "allow" and got[9].verdict in ("allow", "block")
     assert urls.judge_urls(pages).count() == len(rows)
     assert urls.judge_urls(pages.limit(0)).count() == 0
+
+
+def _split_plainly(part, counts, total):
+    """Best way to cut a part into words, by trying all."""
+    from functools import cache
+
+    @cache
+    def best(end):
+        if not end:
+            return 0.0, ()
+        score, words = best(end - 1)
+        found = (score + math.log(0.1 / (total + 1)), (*words, part[end - 1 : end]))
+        for begin in range(end):
+            if part[begin:end] in counts:
+                score, words = best(begin)
+                score += math.log(counts[part[begin:end]] / (total + 1))
+                if score > found[0]:
+                    found = score, (*words, part[begin:end])
+        return found
+
+    return best(len(part))
+
+
+def test_segmentation_against_all_splits(shipped):
+    rng = random.Random(5)
+    syllables = ["ab", "ba", "c", "abc", "da", "xyx"]
+    counts = {"".join(rng.choices(syllables, k=rng.randint(1, 3))): rng.randint(1, 40) for _ in range(40)}
+    giant = "donaudampfschifffahrtsgesellschaften"
+    counts |= {giant: 3, giant[:30]: 2, "dampf": 9}
+    parts = ["".join(rng.choices(syllables, k=rng.randint(1, 9))) for _ in range(60)] + [giant, "my" + giant + "abc", giant[:34], "z" * 1500]
+    hosts = shipped.createDataFrame([(f"{p}.org",) for p in sorted(set(parts))], "host string")
+    words = shipped.createDataFrame(list(counts.items()), "word string, n long")
+    got = {r.host: r.host_words for r in urls.segment_hosts(hosts, words).collect()}
+    total = sum(counts.values())
+    for part in set(parts):
+        words = got[f"{part}.org"][:-1]
+        assert "".join(words) == part
+        if len(part) > urls.LABEL:
+            assert words == [part]
+            continue
+        score = sum(math.log(counts[w] / (total + 1)) if w in counts else math.log(0.1 / (total + 1)) for w in words)
+        assert math.isclose(score, _split_plainly(part, counts, total)[0], rel_tol=1e-12)
+    assert giant in got[f"{giant}.org"] and got[f"my{giant}abc.org"][2] == giant
+
+
+def test_naive_bayes_against_plain_counts(shipped):
+    rng = random.Random(6)
+    rows = [([rng.randrange(6) + (3 if block else 0) for _ in range(rng.randint(0, 5))], "block" if block else "allow") for block in rng.choices([0, 1], k=50)]
+    model = urls.train(shipped.createDataFrame(rows, "buckets array<int>, verdict string"), buckets=16)
+    block, allow = Counter(b for w, v in rows if v == "block" for b in w), Counter(b for w, v in rows if v == "allow" for b in w)
+    seen = set(block) | set(allow)
+    for b in range(16):
+        want = 0.0
+        if b in seen:
+            want = math.log((block[b] + 1) / (sum(block.values()) + len(seen))) - math.log((allow[b] + 1) / (sum(allow.values()) + len(seen)))
+        assert math.isclose(model.odds[b], want, abs_tol=1e-12)
+    blocked = sum(v == "block" for _, v in rows)
+    assert math.isclose(model.prior, math.log((blocked + 0.5) / (len(rows) - blocked + 0.5)))
+
+
+def test_long_words_of_the_pages_stay_whole(shipped):
+    long = "rindfleischetikettierungsueberwachung"
+    rows = [(i, f"https://{long if i else 'x'}.net/a", f"<p>{long} und mehr</p>") for i in range(6)]
+    pages = shipped.createDataFrame(rows, "page_id long, url string, html string")
+    assert urls.page_words(pages).where(F.col("word") == long).first().n == 6
+    hosts = urls.segment_hosts(shipped.createDataFrame([(f"{long}.net",)], "host string"), urls.page_words(pages))
+    assert hosts.first().host_words == [long, "net"]
+    plan = urls.judge_urls(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert "html" not in plan  # the text is not read again for the verdicts

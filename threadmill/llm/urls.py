@@ -14,6 +14,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from threadmill.sources.tables import stage
+
 RULES = {
     "org/": "allow",
     "example.org/es/": "block",
@@ -21,7 +23,10 @@ RULES = {
     "com/fr/": "allow",
     "com/de/": "block",
 }
-LONGEST_WORD = 24
+#: Words up to this length are looked up as whole substrings, longer ones by their first letters, then compared.
+WHOLE = 24
+#: A run of more letters is no name of a host, whose labels have 63 characters at most; it is not split.
+LABEL = 1000
 BUCKETS = 1 << 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -50,7 +55,7 @@ def page_words(pages: DataFrame) -> DataFrame:
     words = F.explode(F.split(F.lower(visible), r"[^\p{L}]+"))
     return (
         pages.select(words.alias("word"))
-        .where(F.length("word").between(1, LONGEST_WORD))
+        .where("word <> ''")
         .groupBy("word")
         .agg(F.count("*").alias("n"))
     )
@@ -60,8 +65,9 @@ def segment_hosts(hosts: DataFrame, words: DataFrame) -> DataFrame:
     """``(host, host_words)`` for distinct hosts: every dot or sign separated part in words.
 
     All substrings of a part meet the word counts in a join, so no dictionary is held in memory;
-    a part then needs only its own matches. Parts of other characters, and letters that no word
-    covers, stay as they are. The last label of a host is not split.
+    a part then needs only its own matches. Words may have any length. Parts of other characters, and letters
+    that no word covers, stay as they are; so do runs of more than ``LABEL`` letters. The last label of
+    a host is not split.
     """
     every = F.split("host", r"[^\p{L}]+")
     parts = (
@@ -69,17 +75,21 @@ def segment_hosts(hosts: DataFrame, words: DataFrame) -> DataFrame:
         .where(F.col("part") != "")
         .withColumn("last", F.col("at") == F.col("n_parts") - 1)
     )
-    names = parts.where(~F.col("last")).select("part").distinct()
+    names = parts.where(~F.col("last") & (F.length("part") <= LABEL)).select("part").distinct()
     cuts = F.expr(
-        f"flatten(transform(sequence(1, length(part)), i -> transform(sequence(1, least({LONGEST_WORD}, "
+        f"flatten(transform(sequence(1, length(part)), i -> transform(sequence(1, least({WHOLE}, "
         "length(part) - i + 1)), n -> struct(i AS begin, n AS size, substring(part, i, n) AS word))))"
     )
-    matches = (
-        names.select("part", F.inline(cuts))
-        .join(words, "word")
-        .groupBy("part")
-        .agg(F.collect_list(F.struct("begin", "size", "n")).alias("matches"))
+    pieces = names.select("part", F.inline(cuts))
+    short = pieces.join(words.where(F.length("word") <= WHOLE), "word").select("part", "begin", "size", "n")
+    long = words.where(F.length("word") > WHOLE).select(
+        F.substring("word", 1, WHOLE).alias("front"), F.col("word").alias("whole"), F.col("n").alias("count")
     )
+    size = F.length("whole")
+    long = pieces.where(F.col("size") == WHOLE).join(long, F.col("word") == F.col("front")).where(
+        F.substring("part", F.col("begin"), size) == F.col("whole")
+    ).select("part", "begin", size.alias("size"), F.col("count").alias("n"))
+    matches = short.unionByName(long).groupBy("part").agg(F.collect_list(F.struct("begin", "size", "n")).alias("matches"))
     total = float(words.agg(F.sum("n")).first()[0] or 1)
     split = matches.select("part", _viterbi_column(total)("part", "matches").alias("found"))
     return (
@@ -167,19 +177,22 @@ def judge_urls(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
 
     Null urls and urls without ``://`` have empty host and path, no words, and the verdict of the
     prior. Repeated rows are judged each. Counts cover all pages; hosts are segmented once each
-    and joined back, an ordinary join that adaptive execution splits at a hot host.
+    and joined back, an ordinary join that adaptive execution splits at a hot host. The text of the pages is
+    read once, for the counts of its words; these, the segmented hosts and the words of the urls are written,
+    and training and verdicts start from there.
     """
     host, path = host_and_path("url")
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
     urls = urls.withColumn("rule", rule_column(rules))
-    hosts = segment_hosts(urls.select("host").distinct(), page_words(pages))
+    vocabulary = stage(page_words(pages), "page-words")
+    hosts = stage(segment_hosts(urls.select("host").distinct(), vocabulary), "hosts")
     words = F.concat(F.coalesce("host_words", F.array().cast("array<string>")), path_words())
     buckets = F.transform(words, lambda w: (F.crc32(w.cast("binary")) % BUCKETS).cast("int"))
     urls = urls.join(hosts, "host", "left").select("page_id", "host", "path", "rule", buckets.alias("buckets"))
     verdict = F.lit(None).cast("string")
     for rule, given in rules.items():
         verdict = F.when(F.col("rule") == rule, F.lit(given)).otherwise(verdict)
-    urls = urls.withColumn("verdict", verdict)
+    urls = stage(urls.withColumn("verdict", verdict), "urls")
     model = train(urls.where(F.col("rule").isNotNull()).select("buckets", "verdict"))
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
