@@ -2,20 +2,31 @@ from pyspark.sql import functions as F
 
 from threadmill.functions import measures, rules
 
-SALARIES = [
-    ((87.0, 93.5, "year"), (87_000.0, 93_500.0, False)),
-    ((61.0, 72.0, "hour"), (61.0, 72.0, False)),
-    ((141_000.0, 96_000.0, "year"), (96_000.0, 141_000.0, False)),
-    ((None, 2_500_000.0, "year"), (None, None, True)),
-    ((None, None, "month"), (None, None, False)),
-    ((None, 77.0, "year"), (None, 77_000.0, False)),
-    ((0.0, -5.0, "year"), (-5_000.0, 0.0, False)),
-    ((90.0, 80.0, "hour"), (80.0, 90.0, False)),
-    ((3_000_000.0, 100.0, "year"), (100_000.0, None, True)),
-    ((2_000_000.0, 2_000_001.0, "year"), (2_000_000.0, None, True)),
-    ((5_000_000.0, 1.0, None), (1.0, 5_000_000.0, False)),
+# Bounds under a thousand a year are thousands, each for itself; other periods are taken as written.
+_THOUSANDS = [
     ((999.0, 1_000.0, "year"), (1_000.0, 999_000.0, False)),
+    ((999.99, 1_000.01, "year"), (1_000.01, 999_990.0, False)),
+    ((-1.0, 0.0, "year"), (-1_000.0, 0.0, False)),
+    *(((41.0, 43.0, period), (41.0, 43.0, False)) for period in ("hour", "day", "month", "unstated", None)),
+]
+# Bounds in the wrong order change places in any period, after they have become thousands.
+_ORDER = [
+    ((300.0, 20_000.0, "year"), (20_000.0, 300_000.0, False)),
+    ((9.0, 8.0, None), (8.0, 9.0, False)),
+    ((70.0, 70.0, "day"), (70.0, 70.0, False)),
+    ((None, 12.0, "hour"), (None, 12.0, False)),
+    ((650.0, None, "year"), (650_000.0, None, False)),
+]
+# More than two millions a year are no salary; the bound goes, after the two are in order.
+_CEILING = [
+    ((2_000_000.0, 2_000_001.0, "year"), (2_000_000.0, None, True)),
+    ((2_000_000.5, 1_999_999.0, "year"), (1_999_999.0, None, True)),
+    ((4e6, 5e6, "year"), (None, None, True)),
+    ((4e6, None, "year"), (None, None, True)),
+    ((4e6, 5e6, "month"), (4e6, 5e6, False)),
+    ((None, None, "year"), (None, None, False)),
 ]
+SALARIES = _THOUSANDS + _ORDER + _CEILING
 
 
 def test_salary(spark):
