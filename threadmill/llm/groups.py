@@ -114,8 +114,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     Alternating large and small stars: each round hangs all neighbours of a node under the
     smallest of them, until only stars are left, which takes about the logarithm of the longest
     path. Rounds are cut by written tables; only a count and a checksum reach the driver. The
-    minima are pre-aggregated, and joins on a frequent node are ordinary joins that adaptive
-    execution splits.
+    minima are pre-aggregated and written as well: a join of two written tables is one that adaptive
+    execution can split at a frequent node, which it does not do with an aggregate in the same stage.
     """
     e = edges.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("u")).where("v != u").distinct()
     e = stage(e, "edges")
@@ -129,8 +129,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         before = now
         both = e.union(e.select("u", "v"))
         least = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
+        least = stage(least, "least")
         large = both.join(least, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u"))
-        large = large.where("v != u").distinct()
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
+        large = stage(large.where("v != u").distinct(), "large")
+        least = stage(large.groupBy("v").agg(F.min("u").alias("m")), "least")
         small = large.join(least, "v").where("u != m").select(F.col("u").alias("v"), F.col("m").alias("u"))
         e = stage(small.union(least.select("v", F.col("m").alias("u"))).distinct(), "edges")

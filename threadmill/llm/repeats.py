@@ -347,8 +347,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     known = rows.where(F.col("doc_id").isNotNull())
-    sums = known.select("doc_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"))
-    first = sums.groupBy("sha").agg(F.min("doc_id").alias("least"))
+    # Both sides of the join are written, so that it can be split at a text with very many copies.
+    sums = stage(known.select("doc_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha")), "sums")
+    first = stage(sums.groupBy("sha").agg(F.min("doc_id").alias("least")), "least")
     narrow = sums.join(first, "sha").groupBy("doc_id").agg(F.max("least").alias("least"))
     narrow = stage(narrow, "firsts")
     spans = repeat_spans(known, narrow, length, gram)
