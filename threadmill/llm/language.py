@@ -76,7 +76,7 @@ def _normalised(presence: np.ndarray) -> np.ndarray:
 def fit(presence: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: float = 1e-2) -> Model:
     """Kernel ridge regression on the landmarks; ``presence`` are rows of marked n-grams.
 
-    Landmarks are taken evenly from the rows, which come in an order without meaning.
+    Landmarks are taken evenly from the rows; these come sorted by language, so every language gives its share.
     """
     languages = sorted(set(langs))
     x = _normalised(presence)

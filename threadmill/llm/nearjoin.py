@@ -1,9 +1,9 @@
 """Join of documents by the Jaccard similarity of their word n-grams.
 
-MinHash LSH forest: the minima of a document's shingles are read as labels of several prefix
-tries. Sorted, documents with a common prefix lie side by side; the prefix that must match is
-shortened from the full label until pairs at the threshold are met with the target recall. What
-meets is then verified exactly on whole shingle sets.
+MinHash labels of one depth: the minima of a document's shingles are read as labels of several
+prefixes, all of the depth at which pairs at the threshold are met with the target recall. Documents with an
+equal prefix are candidates; what meets is then verified exactly on whole shingle sets. This is the
+forest's search at one fixed depth, without sorted tries and without another depth per node.
 """
 
 from __future__ import annotations

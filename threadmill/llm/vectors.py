@@ -1,6 +1,6 @@
-"""Near-duplicate vectors through a pivot-permutation index.
+"""Near-duplicate vectors through inverted lists of pivots.
 
-A vector is described by the order of its nearest pivots. Inverted lists map pairs of near pivots
+A vector is described by its nearest pivots, without their order. Inverted lists map pairs of near pivots
 to vectors: two vectors in the list of a pair share at least two near pivots, and the number of
 lists they share grows with the number of shared pivots. Vectors that meet are compared exactly.
 """
