@@ -2,6 +2,8 @@ import time
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
 
 from threadmill.llm import leaks, nearjoin, repeats, vectors
 from threadmill.llm.groups import components
@@ -79,6 +81,39 @@ def test_vectors_against_all_pairs(shipped):
     assert vectors.near_vectors(table.limit(0)).count() == 0
 
 
+def test_candidates_share_pivots_and_meet_once():
+    rng = np.random.default_rng(4)
+    near = np.stack([rng.permutation(14)[:8] for _ in range(60)])
+    lists = {}
+    for i, row in enumerate(near):
+        for p, q in combinations(sorted(row[:6].tolist()), 2):
+            lists.setdefault((p, q), []).append(i)
+    met = []
+    for (p, q), rows in lists.items():
+        unit = pd.DataFrame({"near": [near[i].astype("<u2").tobytes() for i in rows], "q": q, "lo": 0, "hi": 0, "block": 0})
+        a, b = np.nonzero(np.triu(vectors.candidates(unit, 6, 5)))
+        met += [(rows[i], rows[j]) for i, j in zip(a, b)]
+    together = lambda i, j, n: len(set(near[i, :n]) & set(near[j, :n]))
+    assert sorted(met) == [(i, j) for i, j in combinations(range(60), 2) if together(i, j, 6) >= 2 and together(i, j, 8) >= 5]
+
+
+def test_vectors_of_one_id(shipped):
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (1, [1.0, 0.0], 1), (2, [1.0, 0.01], 0), (3, [1.0, 0.0], 1)]
+    table = shipped.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = vectors.near_vectors(table).collect()
+    assert len(got) == 5 and {r.component_id for r in got} == {1} and {r.vec_id for r in got if r.kept} == {1}
+
+
+def test_pivots_come_from_the_lowest_hashes(shipped):
+    rng = np.random.default_rng(6)
+    table = shipped.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(4000, 8)))], "rep long, embedding array<double>")
+    few = table.orderBy(F.xxhash64("rep", F.lit(3))).limit(50).collect()
+    unit = np.array([r.embedding for r in few])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    got = vectors.choose_pivots(table, sample=50, pivots=50, apart=2.0)
+    assert np.allclose(got, unit)
+
+
 def test_components_of_a_path_and_a_star(shipped):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = {r.id: r.component for r in components(shipped.createDataFrame(edges, "a long, b long"), "a", "b").collect()}

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from threadmill.sources.tables import stage
 
@@ -33,7 +34,7 @@ def block_pairs(members: DataFrame, key: str, item: str, size: int) -> DataFrame
 
 
 def per_unit(
-    rows: DataFrame, key: str, work: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str
+    rows: DataFrame, key: str, work: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str | StructType
 ) -> DataFrame:
     """Apply ``work`` to the rows of each unit of ``block_pairs``.
 

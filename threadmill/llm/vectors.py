@@ -1,8 +1,10 @@
-"""Near-duplicate vectors through inverted lists of pivots.
+"""Near-duplicate vectors through a pivot-permutation index.
 
-A vector is described by its nearest pivots, without their order. Inverted lists map pairs of near pivots
-to vectors: two vectors in the list of a pair share at least two near pivots, and the number of
-lists they share grows with the number of shared pivots. Vectors that meet are compared exactly.
+A vector is described by the numbers of its nearest pivots, nearest first. The inverted list of a pivot
+holds the vectors that have it in the prefix of their permutation, divided by a second pivot of that
+prefix, so that lists stay short. Inside a list only permutations are compared: two vectors are a
+candidate if enough of their near pivots are shared, in the first list they have in common. Vectors of
+candidates are then fetched and their cosine is computed exactly.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from threadmill.llm.groups import block_pairs, components, linked_once, per_unit, star_rows
 from threadmill.sources.tables import stage
 
-PIVOTS, SAMPLE, NEAREST, BLOCK, SIMILARITY, APART = 768, 2048, 8, 384, 0.98, 0.6
+PIVOTS, SAMPLE, NEAREST, PREFIX, SHARED, BLOCK, SIMILARITY, APART = 768, 2048, 8, 6, 3, 384, 0.98, 0.6
 
 
 def usable(embedding: str = "embedding"):
@@ -31,9 +33,13 @@ def choose_pivots(vectors: DataFrame, sample: int = SAMPLE, pivots: int = PIVOTS
     """Pivots from a bounded sample of the vectors, lowest hashes first, none close to another.
 
     Without the last condition a large group of near copies would fill the list of pivots with
-    itself and its permutations would be noise.
+    itself and its permutations would be noise. A threshold on the hash, from a count, leaves about
+    twice the sample before anything is ordered.
     """
-    rows = vectors.orderBy(F.xxhash64("rep", F.lit(3)), "rep").limit(sample).select("embedding").collect()
+    share = min(1.0, 2 * sample / max(vectors.count(), 1))
+    hashed = F.xxhash64("rep", F.lit(3))
+    few = vectors.where(hashed <= int((2 * share - 1) * (2**63 - 1024)))
+    rows = few.orderBy(hashed, "rep").limit(sample).select("embedding").collect()
     if not rows:
         return np.zeros((0, 0))
     width = len(rows[0][0])
@@ -56,90 +62,114 @@ def nearest_pivots(x: np.ndarray, pivots: np.ndarray, n: int = NEAREST) -> np.nd
     return np.argsort(distance, axis=1, kind="stable")[:, :n]
 
 
-def inverted_lists(vectors: DataFrame, pivots: np.ndarray, nearest: int = NEAREST) -> DataFrame:
-    """``(key, rep)``: one row per vector and pair of its nearest pivots, keyed with the label.
+def inverted_lists(
+    vectors: DataFrame, pivots: np.ndarray, nearest: int = NEAREST, prefix: int = PREFIX
+) -> DataFrame:
+    """``(rep, label, v, p, q, near)``: one row per vector and two pivots ``p < q`` of its permutation's prefix.
 
-    A vector of another length than the pivots has no near pivot and goes to a list of its length.
+    ``near`` is the permutation, ``nearest`` numbers of 16 bits, nearest first. A vector of another length than
+    the pivots has none and goes to a list of its length.
     """
     shared = vectors.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p = shared.value
+        centers = shared.value
         for batch in batches:
-            codes, reps = [], []
             sizes = batch["embedding"].map(len).to_numpy()
             for size in np.unique(sizes):
                 part = batch[sizes == size]
-                ids = part["rep"].to_numpy()
-                if size != p.shape[1] or len(p) < 2:
-                    codes.append(np.full(len(part), -int(size)))
-                    reps.append(ids)
+                about = part[["rep", "label", "v"]].reset_index(drop=True)
+                if size != centers.shape[1] or len(centers) < 2:
+                    yield about.assign(p=-int(size), q=-int(size), near=b"")
                     continue
-                near = nearest_pivots(_unit(np.array(part["embedding"].tolist(), np.float64)), p, nearest)
-                near.sort(axis=1)
-                for a, b in combinations(range(near.shape[1]), 2):
-                    codes.append(near[:, a] * len(p) + near[:, b])
-                    reps.append(ids)
-            if codes:
-                yield pd.DataFrame({"code": np.concatenate(codes), "rep": np.concatenate(reps)})
+                near = nearest_pivots(_unit(np.array(part["embedding"].tolist(), np.float64)), centers, nearest)
+                kept = pd.Series([row.tobytes() for row in near.astype("<u2")])
+                first = np.sort(near[:, :prefix], axis=1)
+                for a, b in combinations(range(first.shape[1]), 2):
+                    yield about.assign(p=first[:, a], q=first[:, b], near=kept)
+
+    label = vectors.schema["label"].dataType.simpleString()
+    return vectors.select("rep", "label", "v", "embedding").mapInPandas(
+        run, f"rep long, label {label}, v long, p int, q int, near binary"
+    )
 
-    return vectors.select("rep", "embedding").mapInPandas(run, "code long, rep long")
 
+def candidates(unit: pd.DataFrame, prefix: int = PREFIX, shared: int = SHARED) -> np.ndarray:
+    """Which two rows of a unit share ``shared`` near pivots and have no list before this one in common.
 
-def _links(unit: pd.DataFrame, similarity: float) -> pd.DataFrame | None:
-    """Exact comparison of one unit; a pair counts in the first list that both vectors share."""
+    The first list of two vectors is that of the two smallest pivots that both prefixes hold, so the
+    permutations tell it; each pair is a candidate in one list only.
+    """
+    block = unit["block"].to_numpy()
+    lo, hi, q = (int(unit[c].iloc[0]) for c in ("lo", "hi", "q"))
+    if q < 0:
+        return linked_once(np.ones((len(unit), len(unit)), bool), block, lo, hi)
+    near = np.stack([np.frombuffer(b, "<u2") for b in unit["near"]])
+    values, column = np.unique(near, return_inverse=True)
+    column = column.reshape(near.shape)
+    row = np.arange(len(near))[:, None]
+    holds = np.zeros((len(near), len(values)), np.float32)
+    holds[row, column] = 1
+    pairs = linked_once(holds @ holds.T >= min(shared, near.shape[1]), block, lo, hi)
+    if pairs.any():
+        holds[:] = 0
+        holds[row, column[:, :prefix]] = 1
+        early = holds[:, values <= q]
+        pairs &= early @ early.T == 2
+    return pairs
+
+
+def _with_candidates(unit: pd.DataFrame, prefix: int, shared: int) -> pd.DataFrame | None:
+    """Rows of a unit that are in a candidate."""
+    pairs = candidates(unit, prefix, shared).any(axis=1)
+    return unit[pairs] if pairs.any() else None
+
+
+def _links(unit: pd.DataFrame, similarity: float, prefix: int, shared: int) -> pd.DataFrame | None:
+    """Exact comparison of the candidates of one unit."""
     x = np.array(unit["embedding"].tolist(), np.float64)
     norm = np.linalg.norm(x, axis=1)
-    near = x @ x.T / (norm[:, None] * norm[None, :]) >= similarity
-    lo, hi = int(unit["lo"].iloc[0]), int(unit["hi"].iloc[0])
-    near = linked_once(near, unit["block"].to_numpy(), lo, hi)
-    if not near.any():
-        return None
-    code = int(unit["code"].iloc[0])
-    near &= ~_share_earlier(unit["codes"].tolist(), code)
+    near = candidates(unit, prefix, shared)
+    near &= x @ x.T / (norm[:, None] * norm[None, :]) >= similarity
     return star_rows(near, unit["rep"].to_numpy(), unit["size"].to_numpy())
 
 
-def _share_earlier(codes: list[np.ndarray], code: int) -> np.ndarray:
-    """Which rows have a list before ``code`` in common."""
-    flat = np.concatenate(codes)
-    owner = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-    owner, flat = owner[flat < code], flat[flat < code]
-    values, column, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    number = np.cumsum(counts > 1) - 1
-    used = counts[column] > 1
-    incidence = np.zeros((len(codes), int((counts > 1).sum())), np.float32)
-    incidence[owner[used], number[column[used]]] = 1
-    return incidence @ incidence.T > 0
-
-
 def near_vectors(
-    table: DataFrame, similarity: float = SIMILARITY, pivots: int = PIVOTS, nearest: int = NEAREST, block: int = BLOCK
+    table: DataFrame,
+    similarity: float = SIMILARITY,
+    pivots: int = PIVOTS,
+    nearest: int = NEAREST,
+    prefix: int = PREFIX,
+    shared: int = SHARED,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Per row of ``table`` (vec_id, embedding, label): vec_id, n_links, component_id, kept.
 
     Only vectors with equal, non-null labels are compared, by cosine in double precision. Null
     vectors, zero vectors and vectors with null or non-finite components link with nothing.
     Equal vectors of a label are one entry of the index, so a large group of copies costs one
-    row; a large inverted list is cut into pairs of blocks. Linked pairs are not written out: a
-    unit gives counts and a spanning star for its rows. Repeated rows count as copies.
+    row; a large inverted list is cut into pairs of blocks. Lists hold permutations only, vectors are
+    fetched for rows with a candidate. Linked pairs are not written out: a
+    unit gives counts and a spanning star for its rows. Repeated rows count as copies, those of one vec_id too.
     """
     rows = table.select("vec_id", "embedding", "label")
     good = rows.where(usable() & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
     reps = stage(
-        good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size")), "vectors"
+        good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
+        .withColumn("v", F.xxhash64("label", "embedding")),
+        "vectors",
     )
     chosen = choose_pivots(reps, pivots=pivots)
-    lists = stage(inverted_lists(reps, chosen, nearest), "lists")
-    shared = lists.join(reps.select("rep", "label"), "rep").select(F.struct("label", "code").alias("key"), "rep")
-    dealt = stage(block_pairs(shared, "key", "rep", block), "units")
-    codes = lists.groupBy("rep").agg(F.sort_array(F.collect_list("code")).alias("codes"))
-    needed = dealt.join(reps, "rep").join(codes, "rep").select(
-        F.col("key.code").alias("code"), F.xxhash64("key").alias("list"), "lo", "hi", "block", "rep", "size",
-        "embedding", "codes",
-    )
+    lists = inverted_lists(reps, chosen, nearest, prefix)
+    lists = stage(lists.withColumn("list", F.xxhash64("label", "p", "q")).drop("p"), "lists")
+    dealt = block_pairs(lists, "list", "rep", block)
+    met = stage(per_unit(dealt, "list", lambda u: _with_candidates(u, prefix, shared), dealt.schema), "candidates")
     stars = stage(
-        per_unit(needed, "list", lambda u: _links(u, similarity), "id long, links long, root long"), "stars"
+        per_unit(
+            met.join(reps.select("rep", "v", "size", "embedding"), ["rep", "v"]), "list", lambda u: _links(u, similarity, prefix, shared),
+            "id long, links long, root long",
+        ),
+        "stars",
     )
     roots = components(stars, "id", "root")
     links = stars.groupBy("id").agg(F.sum("links").alias("links"))
