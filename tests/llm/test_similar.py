@@ -55,9 +55,60 @@ def test_jaccard_join_of_odd_tables(docs_of):
     assert len(got) == 4 and all(r.kept for r in got)
 
 
-def test_prefix_is_shortened_to_the_recall():
-    assert nearjoin.prefix_depth(0.8, 20, 8, 0.9999) == 4
-    assert nearjoin.prefix_depth(1.0, 1, 8, 0.9) == 8
+def test_jaccard_join_in_a_crowded_forest(docs_of):
+    rows = _texts()
+    plain = {tuple(r) for r in nearjoin.near_documents(docs_of(rows)).collect()}
+    assert {tuple(r) for r in nearjoin.near_documents(docs_of(rows), block=8, crowd=3).collect()} == plain
+
+
+def _paths(shipped, paths):
+    """Classes from 24 paths of eight labels each."""
+    rows = [(i, np.array(p, "<u2").tobytes()) for i, p in enumerate(paths)]
+    return shipped.createDataFrame(rows, "rep long, labels binary")
+
+
+def test_crowded_nodes_are_left_and_prefixes_shortened_to_the_recall(shipped):
+    rng = np.random.default_rng(3)
+    paths = rng.integers(0, 60000, (60, 24, 8))
+    paths[:40, :5, :4] = 7              # five crowded tries: the others give the recall
+    paths[40:, :, :4] = 9               # crowded in all tries: prefixes of five labels are needed
+    paths[40:, :, 4] = rng.integers(0, 2, (20, 24))
+    paths[1, :5] = paths[0, :5]
+    got = {}
+    for r in nearjoin.forest_groups(_paths(shipped, paths), 0.8, 24, 4, 8, 0.9999, 6).collect():
+        got.setdefault(r.node, set()).add(r.rep)
+    sets = [frozenset(v) for v in got.values()]
+    assert len(sets) == len(set(sets))
+    assert {s for s in sets if min(s) < 40} == {frozenset({0, 1})}
+    halves = {frozenset(40 + np.flatnonzero(paths[40:, t, 4] == side)) for t in range(24) for side in (0, 1)}
+    assert {s for s in sets if min(s) >= 40} == {h for h in halves if len(h) > 1}
+    assert sum(nearjoin.evidence(0.8, 5) for _ in range(24)) >= -np.log(1e-4) > sum(nearjoin.evidence(0.8, 6) for _ in range(24))
+
+
+def test_least_number_of_equal_labels():
+    rng = np.random.default_rng(5)
+    equal = rng.binomial(192, 0.8, 200_000)
+    least = nearjoin.least_equal(0.8, 192, 0.999)
+    assert (equal < least).mean() <= 0.0012 and (equal <= least).mean() > 0.0008
+    assert nearjoin.least_equal(1.0, 10, 0.9999) == 10
+
+
+def test_unlike_texts_of_one_template_stay_apart(docs_of):
+    rng = np.random.default_rng(7)
+    template = [f"t{i}" for i in range(160)]
+    rows = []
+    for i in range(300):                # two texts have a similarity of about 0.55
+        text = list(template)
+        for at in rng.choice(31, 5, replace=False):
+            text[5 * at + 2] = f"own{i}x{at}"
+        rows.append((i, " ".join(text)))
+    rows.append((1000, rows[0][1] + " end"))
+    docs = docs_of(rows)
+    known = nearjoin.sketches(docs.select("doc_id", "text"), 5, 24, 8).selectExpr("doc_id AS rep", "labels")
+    pairs = nearjoin.forest_stars(known, 0.8, 24, 4, 8, 0.9999, 64, 32).collect()
+    assert (1000, 0) in {(r.a, r.b) for r in pairs}
+    met = components(docs.sparkSession.createDataFrame(pairs), "a", "b").groupBy("component").count()
+    assert met.agg(F.max("count")).first()[0] <= 60
 
 
 def test_vectors_against_all_pairs(shipped):

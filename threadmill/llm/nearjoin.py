@@ -1,13 +1,14 @@
 """Join of documents by the Jaccard similarity of their word n-grams.
 
-MinHash labels of one depth: the minima of a document's shingles are read as labels of several
-prefixes, all of the depth at which pairs at the threshold are met with the target recall. Documents with an
-equal prefix are candidates; what meets is then verified exactly on whole shingle sets. This is the
-forest's search at one fixed depth, without sorted tries and without another depth per node.
+MinHash LSH forest: the minima of a document's shingles are labels of paths in several prefix tries.
+Nodes are groups of equal prefixes. A crowded node is replaced by its children; where a document's
+prefixes are then too long for the target recall, they are shortened again. What meets in a node is compared by
+whole signatures, and what these leave is verified exactly on whole shingle sets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,45 +19,126 @@ from threadmill.llm.groups import block_pairs, components, linked_once, per_unit
 from threadmill.llm.textarrays import fingerprint, minima, text_shingles
 from threadmill.sources.tables import stage
 
-WORDS, SIMILARITY, TRIES, DEPTH, RECALL, BLOCK = 5, 0.8, 20, 8, 0.9999, 128
+WORDS, SIMILARITY, TRIES, LEAST, DEPTH, RECALL, BLOCK, CROWD = 5, 0.8, 24, 4, 8, 0.9999, 128, 512
 _COLUMNS = 1 << 14
 _SKETCH = "doc_id long, f1 long, f2 long, words_seen boolean, labels binary"
 
 
-def prefix_depth(similarity: float, tries: int, depth: int, recall: float) -> int:
-    """Shorten the prefix until a pair at the threshold meets in some trie with that probability."""
-    while depth > 1 and 1 - (1 - similarity**depth) ** tries < recall:
-        depth -= 1
-    return depth
+def evidence(similarity: float, depth: int) -> float:
+    """What one trie adds to the recall at that depth: minus the logarithm of the chance not to meet there."""
+    return -math.log1p(-min(similarity**depth, 1 - 1e-15))
+
+
+def least_equal(similarity: float, labels: int, recall: float) -> int:
+    """Equal labels that a pair at the threshold has at least, with the probability ``recall``."""
+    below, k = 0.0, 0
+    while k < labels:
+        log = math.lgamma(labels + 1) - math.lgamma(k + 1) - math.lgamma(labels - k + 1)
+        log += k * math.log(similarity) + (labels - k) * math.log1p(-min(similarity, 1 - 1e-15))
+        below += math.exp(log)
+        if below > 1 - recall:
+            break
+        k += 1
+    return k
 
 
 def sketches(docs: DataFrame, words: int, tries: int, depth: int) -> DataFrame:
-    """Fingerprint of the shingle set and the trie labels of every document, map-only."""
+    """Fingerprint of the shingle set and the labels, 16 bits each, of every document, map-only."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 found = text_shingles(text, words)
-                labels = minima(found, tries * depth).astype("<u4").tobytes() if len(found) else None
+                labels = minima(found, tries * depth).astype("<u2").tobytes() if len(found) else None
                 out.append((doc_id, *fingerprint(found), bool(len(found)), labels))
             yield pd.DataFrame(out, columns=["doc_id", "f1", "f2", "words_seen", "labels"])
 
     return docs.mapInPandas(run, _SKETCH)
 
 
-def trie_stars(reps: DataFrame, tries: int, depth: int, prefix: int) -> DataFrame:
-    """``(a, b)``: every class and the smallest class that shares a prefix with it in some trie.
+def _nodes(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("node", F.expr("xxhash64(trie, depth, substring(path, 1, 2 * depth))"))
+
+
+def _sizes(nodes: DataFrame) -> DataFrame:
+    """Nodes of two or more, with a checksum of their members."""
+    members = F.bit_xor(F.xxhash64("rep", F.lit(5))).alias("members")
+    return nodes.groupBy("node").agg(F.count("*").alias("n"), members).where("n > 1")
+
 
-    A trie is the sorted labels of one slice of the minima; nodes at the prefix depth are groups
-    of equal prefixes. They are joined to their smallest member only: pairs are not written out.
+def _each_set_once(sizes: DataFrame) -> DataFrame:
+    """Of nodes with the same members only one, as near copies meet in most tries."""
+    return sizes.groupBy("n", "members").agg(F.min("node").alias("node")).select("node")
+
+
+def forest_groups(
+    reps: DataFrame, similarity: float, tries: int, least: int, depth: int, recall: float, crowd: int
+) -> DataFrame:
+    """``(node, rep)``: the classes of every trie node in which they are to be compared.
+
+    Nodes start at the depth ``least``. One of more than ``crowd`` classes is left for its children,
+    down to ``depth``. Each class adds up what its tries give at the depth reached; below the target recall it is
+    also listed in the longest shorter prefixes that reach it, however crowded these are.
+    Two classes at the threshold so meet with the target recall of the one that reaches it by longer prefixes.
     """
-    label = F.expr(
-        f"transform(sequence(0, {tries - 1}), t -> struct(t AS trie, substring(labels, t * {4 * depth} + 1, {4 * prefix}) AS node))"
+    path = F.expr(
+        f"transform(sequence(0, {tries - 1}), t -> struct(t AS trie, substring(labels, t * {2 * depth} + 1, {2 * depth}) AS path))"
+    )
+    rows = reps.select("rep", F.inline(path))
+    shallow = _nodes(rows.withColumn("depth", F.lit(least)))
+    sizes = stage(_sizes(shallow), "nodes")
+    groups = shallow.join(_each_set_once(sizes.where(F.col("n") <= crowd)), "node").select("node", "rep")
+    crowded = stage(
+        shallow.join(sizes.where(F.col("n") > crowd).select("node"), "node").select("rep", "trie", "path"), "crowded"
     )
-    nodes = reps.select("rep", F.inline(label)).select("rep", F.xxhash64("trie", "node").alias("node"))
-    first = nodes.groupBy("node").agg(F.min("rep").alias("first"), F.count("*").alias("n")).where("n > 1")
-    return nodes.join(first, "node").where("rep != first").select(F.col("rep").alias("a"), F.col("first").alias("b")).distinct()
+    if crowded.isEmpty():
+        return groups
+    deeper = _nodes(crowded.withColumn("depth", F.explode(F.sequence(F.lit(least), F.lit(depth)))))
+    full = stage(_sizes(deeper).where(F.col("n") > crowd).select("node"), "full")
+    reached = deeper.join(full, "node").groupBy("rep", "trie").agg(
+        F.least(F.max("depth") + 1, F.lit(depth)).alias("reached")
+    )
+    reached = stage(reached, "reached")
+    needed = -math.log1p(-recall)
+
+    def total(cap: int):
+        given = F.lit(0.0)
+        for d in range(least, depth + 1):
+            given = F.when(F.least("reached", F.lit(cap)) == d, evidence(similarity, d)).otherwise(given)
+        return F.sum(given) + (F.lit(tries) - F.count("*")) * evidence(similarity, least)
+
+    caps = reached.groupBy("rep").agg(
+        F.greatest(F.lit(least), *(F.when(total(cap) >= needed, cap) for cap in range(least, depth + 1))).alias("cap")
+    )
+    listed = (
+        reached.join(stage(caps, "caps"), "rep")
+        .withColumn("depth", F.explode(F.sequence(F.least("reached", "cap"), F.col("reached"))))
+        .join(crowded, ["rep", "trie"])
+    )
+    listed = stage(_nodes(listed).select("node", "rep"), "listed")
+    return groups.union(listed.join(_each_set_once(_sizes(listed)), "node").select("node", "rep"))
+
+
+def _plausible(unit: pd.DataFrame, equal: int) -> pd.DataFrame | None:
+    labels = np.stack([np.frombuffer(b, "<u2") for b in unit["labels"]])
+    same = np.zeros((len(labels), len(labels)), np.int32)
+    for begin in range(0, labels.shape[1], 16):
+        part = labels[:, begin : begin + 16]
+        same += (part[:, None, :] == part[None, :, :]).sum(axis=2, dtype=np.int32)
+    near = linked_once(same >= equal, unit["block"].to_numpy(), int(unit["lo"].iloc[0]), int(unit["hi"].iloc[0]))
+    return star_rows(near, unit["rep"].to_numpy(), np.ones(len(unit), np.int64))
+
+
+def forest_stars(
+    reps: DataFrame, similarity: float, tries: int, least: int, depth: int, recall: float, crowd: int, block: int
+) -> DataFrame:
+    """``(a, b)``: stars over the classes that meet in a node and have enough equal labels."""
+    groups = stage(forest_groups(reps, similarity, tries, least, depth, recall, crowd), "groups")
+    units = block_pairs(groups, "node", "rep", block).join(reps.select("rep", "labels"), "rep")
+    equal = least_equal(similarity, tries * depth, recall)
+    stars = per_unit(units, "node", lambda u: _plausible(u, equal), "id long, links long, root long")
+    return stars.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b")).distinct()
 
 
 def jaccard_matrix(sets: list[np.ndarray]) -> np.ndarray:
@@ -108,9 +190,11 @@ def near_documents(
     words: int = WORDS,
     similarity: float = SIMILARITY,
     tries: int = TRIES,
+    least: int = LEAST,
     depth: int = DEPTH,
     recall: float = RECALL,
     block: int = BLOCK,
+    crowd: int = CROWD,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, class_id, class_size, n_links, component_id, kept.
 
@@ -123,20 +207,20 @@ def near_documents(
     with nothing and are kept. Rows that repeat a doc_id with equal words count as copies; with other
     words they are one document whose texts may each have links.
 
-    Copies are collapsed by pre-aggregated fingerprints. Classes that meet in a trie form
-    candidate groups, joined by stars; texts are fetched once, for these classes only. A large
+    Copies are collapsed by pre-aggregated fingerprints. Classes that meet in the forest with enough
+    equal labels form candidate groups, joined by stars; texts are fetched once, for these classes only. A large
     group is cut into pairs of blocks, which are compared whole and give counts and spanning stars
     instead of pairs, so every link between different texts of a group counts.
     """
     base = docs.select("doc_id", "text")
-    prefix = prefix_depth(similarity, tries, depth, recall)
-    known = stage(sketches(base, words, tries, prefix), "sketches")
+    known = stage(sketches(base, words, tries, depth), "sketches")
     judged = known.where(F.col("words_seen") & F.col("doc_id").isNotNull())
     classes = judged.groupBy("f1", "f2").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("size"), F.first("labels").alias("labels")
     )
     classes = stage(classes, "classes")
-    groups = stage(components(trie_stars(classes, tries, prefix, prefix), "a", "b"), "groups")
+    met = forest_stars(classes, similarity, tries, least, depth, recall, crowd, block)
+    groups = stage(components(met, "a", "b"), "families")
     wanted = groups.join(classes.select("rep", "size", "f1", "f2"), groups.id == classes.rep).select(
         "rep", "f1", "f2", "size", "component"
     )
