@@ -58,7 +58,7 @@ def test_jaccard_join_of_odd_tables(docs_of):
 def test_jaccard_join_in_a_crowded_forest(docs_of):
     rows = _texts()
     plain = {tuple(r) for r in nearjoin.near_documents(docs_of(rows)).collect()}
-    assert {tuple(r) for r in nearjoin.near_documents(docs_of(rows), block=8, crowd=3).collect()} == plain
+    assert {tuple(r) for r in nearjoin.near_documents(docs_of(rows), block=8, wide=8, crowd=3).collect()} == plain
 
 
 def _paths(shipped, paths):

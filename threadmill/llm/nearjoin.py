@@ -19,7 +19,7 @@ from threadmill.llm.groups import block_pairs, components, linked_once, per_unit
 from threadmill.llm.textarrays import fingerprint, minima, text_shingles
 from threadmill.sources.tables import stage
 
-WORDS, SIMILARITY, TRIES, LEAST, DEPTH, RECALL, BLOCK, CROWD = 5, 0.8, 24, 4, 8, 0.9999, 128, 512
+WORDS, SIMILARITY, TRIES, LEAST, DEPTH, RECALL, BLOCK, WIDE, CROWD = 5, 0.8, 24, 4, 8, 0.9999, 128, 2048, 512
 _COLUMNS = 1 << 14
 _SKETCH = "doc_id long, f1 long, f2 long, words_seen boolean, labels binary"
 
@@ -114,18 +114,21 @@ def forest_groups(
     listed = (
         reached.join(stage(caps, "caps"), "rep")
         .withColumn("depth", F.explode(F.sequence(F.least("reached", "cap"), F.col("reached"))))
+        .withColumn("last", F.col("depth") == F.least("reached", "cap"))
         .join(crowded, ["rep", "trie"])
     )
-    listed = stage(_nodes(listed).select("node", "rep"), "listed")
-    return groups.union(listed.join(_each_set_once(_sizes(listed)), "node").select("node", "rep"))
+    listed = stage(_nodes(listed).select("node", "rep", "last"), "listed")
+    # a node in which no class ends lies within a shorter prefix that lists all its classes
+    ending = listed.where("last").select("node").distinct()
+    once = _each_set_once(_sizes(listed).join(ending, "node", "left_semi"))
+    return groups.union(listed.join(once, "node").select("node", "rep"))
 
 
 def _plausible(unit: pd.DataFrame, equal: int) -> pd.DataFrame | None:
     labels = np.stack([np.frombuffer(b, "<u2") for b in unit["labels"]])
     same = np.zeros((len(labels), len(labels)), np.int32)
-    for begin in range(0, labels.shape[1], 16):
-        part = labels[:, begin : begin + 16]
-        same += (part[:, None, :] == part[None, :, :]).sum(axis=2, dtype=np.int32)
+    for one in labels.T:
+        same += one[:, None] == one[None, :]
     near = linked_once(same >= equal, unit["block"].to_numpy(), int(unit["lo"].iloc[0]), int(unit["hi"].iloc[0]))
     return star_rows(near, unit["rep"].to_numpy(), np.ones(len(unit), np.int64))
 
@@ -194,6 +197,7 @@ def near_documents(
     depth: int = DEPTH,
     recall: float = RECALL,
     block: int = BLOCK,
+    wide: int = WIDE,
     crowd: int = CROWD,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, class_id, class_size, n_links, component_id, kept.
@@ -209,7 +213,7 @@ def near_documents(
 
     Copies are collapsed by pre-aggregated fingerprints. Classes that meet in the forest with enough
     equal labels form candidate groups, joined by stars; texts are fetched once, for these classes only. A large
-    group is cut into pairs of blocks, which are compared whole and give counts and spanning stars
+    group is cut into pairs of blocks (``wide`` rows of labels, ``block`` rows of shingles), which are compared whole and give counts and spanning stars
     instead of pairs, so every link between different texts of a group counts.
     """
     base = docs.select("doc_id", "text")
@@ -219,7 +223,7 @@ def near_documents(
         F.min("doc_id").alias("rep"), F.count("*").alias("size"), F.first("labels").alias("labels")
     )
     classes = stage(classes, "classes")
-    met = forest_stars(classes, similarity, tries, least, depth, recall, crowd, block)
+    met = forest_stars(classes, similarity, tries, least, depth, recall, crowd, wide)
     groups = stage(components(met, "a", "b"), "families")
     wanted = groups.join(classes.select("rep", "size", "f1", "f2"), groups.id == classes.rep).select(
         "rep", "f1", "f2", "size", "component"
