@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from threadmill import fixed_values as V
 from threadmill.functions.rules import remote_region
+from threadmill.operators import phrases
 from threadmill.operators.phrases import first_phrase, phrase_table, with_first_phrase
 
 
@@ -47,3 +48,25 @@ def test_region_rules_as_a_table(spark):
     by_table = with_first_phrase(df, "raw", table, "region", "other").collect()
     by_chain = df.withColumn("region", remote_region(F.col("raw"), V.REMOTE_REGION_RULES)).collect()
     assert sorted(map(str, by_table)) == sorted(map(str, by_chain))
+
+
+def test_texts_with_one_of_the_first_phrases_are_not_cut_into_pieces(spark, monkeypatch):
+    rules = [(f"early{i}", f"e{i}", i // 2) for i in range(150)] + [("late", "l", 900), ("None", None, 1), (None, "x", 0)]
+    table = spark.createDataFrame(rules, "phrase string, value string, priority int")
+    texts = [f"Early{i % 60}. and late, number {i}" for i in range(200)] + ["late one", "early140", "NONE late", "none", "", None]
+    df = spark.createDataFrame([(t,) for t in texts * 2], "t string")
+    cut, stage = [], phrases.stage
+
+    def counted(rows, name):
+        rows = stage(rows, name)
+        cut.extend([rows.count()] * (name == "texts"))
+        return rows
+
+    monkeypatch.setattr(phrases, "stage", counted)
+    got = with_first_phrase(df, "t", table, "v", "other").collect()
+    assert cut == [1] and len(got) == len(texts) * 2
+    ordered = sorted(((n, p.lower(), v) for p, v, n in rules if p))
+    want = {t: next((v for _, p, v in ordered if p in t.lower()), None) for t in texts if t}
+    assert {r.t: r.v for r in got} == {t: v or "other" for t, v in want.items()} | {"": None, None: None}
+    found = [(r.text, r.value) for r in first_phrase(df, "t", table).collect()]
+    assert sorted(found, key=str) == sorted(((t.lower(), v) for t, v in want.items()), key=str)
