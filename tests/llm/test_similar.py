@@ -1,4 +1,5 @@
 import time
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -6,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from threadmill.llm import leaks, nearjoin, repeats, vectors
-from threadmill.llm.groups import components
+from threadmill.llm.groups import block_pairs, components
 from threadmill.llm.textarrays import text_shingles
 
 
@@ -85,6 +86,24 @@ def test_crowded_nodes_are_left_and_prefixes_shortened_to_the_recall(shipped):
     assert sum(nearjoin.evidence(0.8, 5) for _ in range(24)) >= -np.log(1e-4) > sum(nearjoin.evidence(0.8, 6) for _ in range(24))
 
 
+def test_nodes_have_their_sizes_and_equal_paths_are_looked_up_once(shipped):
+    rng = np.random.default_rng(4)
+    paths = rng.integers(0, 60000, (50, 24, 8))
+    paths[:40, :3] = 7                  # forty near copies share three whole paths
+    paths[40:, :, :4] = 9
+    reps = _paths(shipped, paths)
+    groups = nearjoin.forest_groups(reps, 0.8, 24, 4, 8, 0.9999, 6)
+    rows = [tuple(r) for r in groups.collect()]
+    sizes = Counter(r[0] for r in rows)
+    assert rows and all(n == sizes[node] for node, _, n in rows)
+    dealt = [{tuple(r) for r in block_pairs(g, "node", "rep", 4, *n).select("node", "rep", "lo", "hi", "block").collect()}
+             for g, n in ((groups.drop("n"), ()), (groups, ("n",)))]
+    assert dealt[0] == dealt[1]
+    crowded = shipped.createDataFrame([(i, t, paths[i, t].astype("<u2").tobytes()) for i in range(40) for t in range(3)],
+                                      "rep long, trie int, path binary")
+    assert {tuple(r)[::2] for r in nearjoin._reached(crowded, 4, 8, 6).collect()} == {(t, 8) for t in range(3)}
+
+
 def test_least_number_of_equal_labels():
     rng = np.random.default_rng(5)
     equal = rng.binomial(192, 0.8, 200_000)

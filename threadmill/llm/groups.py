@@ -12,18 +12,23 @@ from pyspark.sql.types import StructType
 from threadmill.sources.tables import stage
 
 
-def block_pairs(members: DataFrame, key: str, item: str, size: int) -> DataFrame:
+def block_pairs(members: DataFrame, key: str, item: str, size: int, count: str | None = None) -> DataFrame:
     """Rows of groups with two or more members, dealt out so that any two of a group meet.
 
     A group of up to ``size`` rows is one task unit, ``(key, 0, 0)``. A larger one is cut by a
     hash of ``item`` into blocks of about ``size``, and every pair of blocks is a unit; no unit
     grows with its group. ``members`` must have distinct ``(key, item)``. Added columns:
-    ``lo``, ``hi`` (the unit) and ``block`` (the row's own block).
+    ``lo``, ``hi`` (the unit) and ``block`` (the row's own block). Where a column ``count`` already has
+    the number of members, it is taken, and dropped.
     """
-    counts = members.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
+    if count is None:
+        counts = members.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
+        counted = members.join(counts, key)
+    else:
+        counted = members.withColumnRenamed(count, "_n").where("_n > 1")
     blocks = F.ceil(F.col("_n") / F.lit(size)).cast("int")
     return (
-        members.join(counts, key)
+        counted
         .withColumn("_blocks", blocks)
         .withColumn("block", F.pmod(F.xxhash64(item), "_blocks").cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))

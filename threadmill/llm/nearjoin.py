@@ -69,13 +69,26 @@ def _sizes(nodes: DataFrame) -> DataFrame:
 
 def _each_set_once(sizes: DataFrame) -> DataFrame:
     """Of nodes with the same members only one, as near copies meet in most tries."""
-    return sizes.groupBy("n", "members").agg(F.min("node").alias("node")).select("node")
+    return sizes.groupBy("n", "members").agg(F.min("node").alias("node")).select("node", "n")
+
+
+def _reached(crowded: DataFrame, least: int, depth: int, crowd: int) -> DataFrame:
+    """``(trie, path, reached)``: for paths in crowded nodes the depth of the first node that is not, at most ``depth``.
+
+    A path stands for all classes that have it, so near copies are looked up once and not one by one.
+    """
+    paths = stage(crowded.groupBy("trie", "path").agg(F.count("*").alias("classes")), "paths")
+    deeper = _nodes(paths.withColumn("depth", F.explode(F.sequence(F.lit(least), F.lit(depth)))))
+    full = deeper.groupBy("node").agg(F.sum("classes").alias("n")).where(F.col("n") > crowd).select("node")
+    return deeper.join(stage(full, "full"), "node").groupBy("trie", "path").agg(
+        F.least(F.max("depth") + 1, F.lit(depth)).alias("reached")
+    )
 
 
 def forest_groups(
     reps: DataFrame, similarity: float, tries: int, least: int, depth: int, recall: float, crowd: int
 ) -> DataFrame:
-    """``(node, rep)``: the classes of every trie node in which they are to be compared.
+    """``(node, rep, n)``: the classes of every trie node in which they are to be compared, and their number.
 
     Nodes start at the depth ``least``. One of more than ``crowd`` classes is left for its children,
     down to ``depth``. Each class adds up what its tries give at the depth reached; below the target recall it is
@@ -88,18 +101,14 @@ def forest_groups(
     rows = reps.select("rep", F.inline(path))
     shallow = _nodes(rows.withColumn("depth", F.lit(least)))
     sizes = stage(_sizes(shallow), "nodes")
-    groups = shallow.join(_each_set_once(sizes.where(F.col("n") <= crowd)), "node").select("node", "rep")
+    groups = shallow.join(_each_set_once(sizes.where(F.col("n") <= crowd)), "node").select("node", "rep", "n")
     crowded = stage(
         shallow.join(sizes.where(F.col("n") > crowd).select("node"), "node").select("rep", "trie", "path"), "crowded"
     )
     if crowded.isEmpty():
         return groups
-    deeper = _nodes(crowded.withColumn("depth", F.explode(F.sequence(F.lit(least), F.lit(depth)))))
-    full = stage(_sizes(deeper).where(F.col("n") > crowd).select("node"), "full")
-    reached = deeper.join(full, "node").groupBy("rep", "trie").agg(
-        F.least(F.max("depth") + 1, F.lit(depth)).alias("reached")
-    )
-    reached = stage(reached, "reached")
+    by_path = stage(_reached(crowded, least, depth, crowd), "reached-paths")
+    reached = stage(crowded.join(by_path, ["trie", "path"]), "reached")
     needed = -math.log1p(-recall)
 
     def total(cap: int):
@@ -115,13 +124,12 @@ def forest_groups(
         reached.join(stage(caps, "caps"), "rep")
         .withColumn("depth", F.explode(F.sequence(F.least("reached", "cap"), F.col("reached"))))
         .withColumn("last", F.col("depth") == F.least("reached", "cap"))
-        .join(crowded, ["rep", "trie"])
     )
     listed = stage(_nodes(listed).select("node", "rep", "last"), "listed")
     # a node in which no class ends lies within a shorter prefix that lists all its classes
     ending = listed.where("last").select("node").distinct()
     once = _each_set_once(_sizes(listed).join(ending, "node", "left_semi"))
-    return groups.union(listed.join(once, "node").select("node", "rep"))
+    return groups.union(listed.join(once, "node").select("node", "rep", "n"))
 
 
 def _plausible(unit: pd.DataFrame, equal: int) -> pd.DataFrame | None:
@@ -138,7 +146,7 @@ def forest_stars(
 ) -> DataFrame:
     """``(a, b)``: stars over the classes that meet in a node and have enough equal labels."""
     groups = stage(forest_groups(reps, similarity, tries, least, depth, recall, crowd), "groups")
-    units = block_pairs(groups, "node", "rep", block).join(reps.select("rep", "labels"), "rep")
+    units = block_pairs(groups, "node", "rep", block, "n").join(reps.select("rep", "labels"), "rep")
     equal = least_equal(similarity, tries * depth, recall)
     stars = per_unit(units, "node", lambda u: _plausible(u, equal), "id long, links long, root long")
     return stars.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b")).distinct()
