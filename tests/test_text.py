@@ -137,3 +137,10 @@ def test_gate_and_truncation(spark):
     long = spark.createDataFrame([("é" * 24_000,), ("é" * 24_001,)], "t string")
     got = long.select(X.is_truncated(F.col("t")).alias("x"), F.length(X.truncate(F.col("t"))).alias("n")).collect()
     assert [(r.x, r.n) for r in got] == [(False, 24_000), (True, 24_000)]
+
+
+def test_parser_does_not_hold_a_batch_of_thousands(spark):
+    df = spark.createDataFrame([("<x>one",), ("<b>two</b>",), (None,)], "t string")
+    for clean in (False, True):
+        plan = X.with_plain_text(df, "t", clean=clean)._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as V
@@ -150,9 +149,11 @@ def parse_html(html: str | None, clean: bool = False) -> str:
 
 
 def _parser_udf(clean: bool):
-    @F.pandas_udf("string")
-    def html_text(html: pd.Series) -> pd.Series:
-        return html.map(lambda h: None if h is None else parse_html(h, clean))
+    """The parser, row by row: a worker holds some hundred posts at a time, however many a task has."""
+
+    @F.udf("string", useArrow=False)
+    def html_text(html: str | None) -> str | None:
+        return None if html is None else parse_html(html, clean)
 
     return html_text
 
