@@ -4,7 +4,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from threadmill.checks import queries as Q
 from threadmill.schemas import LEDGER, LEDGER_LOG, POSTS, POSTS_LOG, THREADS
+from threadmill.sources.adapters import JobThreads
 from threadmill.sources.manifest import StateLog
 from threadmill.sources.tables import append_batch
 from threadmill.streaming import incremental as I
@@ -191,3 +193,20 @@ def test_ledger_log_is_compacted_by_post_and_version(spark, tmp_path):
     found = sorted((r.prompt_version, r.post_id) for r in I.merged_ledger(spark, log).collect())
     assert found == [("v1", 1), ("v1", 2), ("v2", 1), ("v2", 2)]
     assert I.read_log(spark, log, LEDGER_LOG).count() == 4
+
+
+def test_files_of_the_streams_do_not_grow_with_the_tables(spark, tmp_path, monkeypatch):
+    docs = spark.range(40).selectExpr("id as doc_id", "repeat(cast(id as string), 60) as text")
+    docs.repartition(40).write.parquet(f"{tmp_path}/documents.parquet")
+    j, landed, write = JobThreads(spark, str(tmp_path)), [], Q._landed
+    monkeypatch.setattr(Q, "_landed", lambda j, rows, name: landed.append(rows.rdd.getNumPartitions()) or write(j, rows, name))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = []
+    try:
+        for size in (was, "1k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found.append(sorted(map(str, Q.posts_stream(j).collect())))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert found[0] == found[1] and len(found[0]) > 30
+    assert landed[1] >= 40 and landed[1] > landed[0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -863,12 +864,18 @@ def exported_dataset(j):
 # --- streams ----------------------------------------------------------------------------------
 
 
+def _files_each(j: JobThreads, batches: int) -> int:
+    """Files that each of so many batches lands in: more for larger tables, so that no file grows with them."""
+    return max(1, math.ceil(j.table("documents").rdd.getNumPartitions() / batches))
+
+
 def _posts_log(j: JobThreads) -> str:
     """Two streaming runs over the same landing folder; the second one finds nothing new."""
-    landing = _landed(j, j.landed_items().repartition(4), "thread-items")
+    files = 2 * _files_each(j, 4)
+    landing = _landed(j, j.landed_items().repartition(2 * files), "thread-items")
     log, checkpoint = scratch_path(j.spark, "posts-log"), scratch_path(j.spark, "posts-checkpoint")
     for _ in range(2):
-        incremental.ingest_stream(j.spark, landing, log, checkpoint, RUN_TS, files_per_batch=2).awaitTermination()
+        incremental.ingest_stream(j.spark, landing, log, checkpoint, RUN_TS, files_per_batch=files).awaitTermination()
     return log
 
 
@@ -889,25 +896,26 @@ def posts_of_two_runs(j):
         "children", F.transform("children", lambda c: F.when(c.isNotNull(), c.withField("author", F.lit("late"))))
     )
     log = scratch_path(j.spark, "posts-log")
-    for rows, files, fan in ((items, 5, 3), (late, 2, 3)):
+    for rows, batches, fan in ((items, 5, 3), (late, 2, 3)):
+        files = _files_each(j, batches)
         landing = scratch_path(j.spark, "thread-items")
-        rows.repartition(files).write.option("ignoreNullFields", "false").json(landing)
+        rows.repartition(batches * files).write.option("ignoreNullFields", "false").json(landing)
         checkpoint = scratch_path(j.spark, "posts-checkpoint")
-        incremental.ingest_stream(j.spark, landing, log, checkpoint, RUN_TS, files_per_batch=1).awaitTermination()
+        incremental.ingest_stream(j.spark, landing, log, checkpoint, RUN_TS, files_per_batch=files).awaitTermination()
         incremental.compact_posts(j.spark, log, fan)
     return incremental.merged_posts(j.spark, log).select("id", "thread_id", "author", "fetched_at")
 
 
 @query
 def ledger_stream(j):
-    posts_log = scratch_path(j.spark, "posts")
-    replace_table(j.posts().repartition(4), posts_log)
+    posts_log, files = scratch_path(j.spark, "posts"), 2 * _files_each(j, 4)
+    replace_table(j.posts().repartition(2 * files), posts_log)
     threads = stage(j.threads(), "threads")
     log, checkpoint = scratch_path(j.spark, "ledger-log"), scratch_path(j.spark, "ledger-checkpoint")
     for _ in range(2):
         incremental.extract_stream(
             j.spark, posts_log, threads, log, checkpoint, test_extractor, "prompt", RUN_TS,
-            files_per_batch=2, sleep=no_wait,
+            files_per_batch=files, sleep=no_wait,
         ).awaitTermination()
     return incremental.merged_ledger(j.spark, log)
 
