@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from threadmill.plans import extract, ingest
 from threadmill.plans.normalize import NormalizedTables, publish_tables
 from threadmill.schemas import LEDGER, POSTS, THREADS
+from threadmill.sources import snapshots
 from threadmill.sources.manifest import Conflict, StateLog
 from threadmill.sources.snapshots import TableStore
 
@@ -162,3 +163,17 @@ def test_ingest_into_store(spark, tmp_path):
     ingest.ingest_posts_into(store, items, "2", ids_per_part=100)
     assert {r.id: r.fetched_at for r in store.read("threads").collect()} == {1: "1", 2: None}
     assert store.snapshot().number > state and store.read("posts").filter("fetched_at = '2'").count() == 0
+
+
+def test_first_rows_of_a_table_are_written_once(spark, tmp_path, monkeypatch):
+    staged, stage = [], snapshots.stage
+    monkeypatch.setattr(snapshots, "stage", lambda rows, name: staged.append(name) or stage(rows, name))
+    store = TableStore(spark, str(tmp_path))
+    rows = [[(1, "a", 1), (1, "b", 2), (250, "c", 1), (None, "d", 1)], [(1, "e", 1), (300, "f", 2)]]
+    for part in rows:
+        df = spark.createDataFrame(part, "id long, v string, seen int")
+        store.merge("t", df, ["id"], F.floor(F.col("id") / 100), [F.desc("seen")])
+    assert staged == ["updates"]
+    assert {tuple(r) for r in store.read("t").select("id", "v").collect()} == {(1, "e"), (250, "c"), (300, "f"), (None, "d")}
+    names = [n for _, _, files in os.walk(tmp_path / "data") for n in files if n.endswith(".parquet")]
+    assert names and all(n.endswith(".zstd.parquet") for n in names)

@@ -63,7 +63,7 @@ class TableStore:
         """
         folder = f"{table}-{uuid.uuid4().hex}"
         rows = df.withColumn(_PART, part.cast("string")).hint("rebalance", _PART)
-        rows.write.partitionBy(_PART).parquet(f"{self.folder}/data/{folder}")
+        rows.write.option("compression", "zstd").partitionBy(_PART).parquet(f"{self.folder}/data/{folder}")
         names = [n for n in self._data.list(folder) if n.startswith(f"{_PART}=")]
         return {unquote(n.removeprefix(f"{_PART}=")): f"{folder}/{n}" for n in names}
 
@@ -103,17 +103,20 @@ class TableStore:
         """Put rows into a table by key, whole rows; of equal keys in ``updates`` the newest wins.
 
         ``part`` must follow from the keys. Only parts that get rows are read and written; the files of
-        the others stay as they are. After a commit of somebody else the merge is made again on top of it.
+        the others stay as they are. The first rows of a table meet nothing and are written at once.
+        After a commit of somebody else the merge is made again on top of it.
         """
         names = [c for c in updates.columns if not c.startswith("_")]
         newest = latest_per_key(updates, keys, newest_first).select(*names)
-        newest = stage(newest.withColumn(_PART, part.cast("string")), "updates")
-        touched = [r[0] for r in newest.select(_PART).distinct().collect()]
-        newest = newest.drop(_PART)
+        touched = None
         for left in reversed(range(attempts)):
             base = self.snapshot()
             rows = newest
             if table in base.schemas:
+                if touched is None:
+                    staged = stage(newest.withColumn(_PART, part.cast("string")), "updates")
+                    touched = [r[0] for r in staged.select(_PART).distinct().collect()]
+                    rows = newest = staged.drop(_PART)
                 old = self.read(table, touched, base)
                 rows = old.join(newest.select(*keys), list(keys), "left_anti").unionByName(newest)
             try:
