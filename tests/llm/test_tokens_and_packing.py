@@ -26,6 +26,16 @@ def test_pieces_give_the_ids_of_the_library(library):
         assert encoder.ids(text).tolist() == library(text)
 
 
+@pytest.mark.parametrize("whole", [0, 8, 10_000])
+def test_whole_texts_and_pieces_give_the_same_ids(library, whole):
+    encoder = tokens.PieceEncoder(PATH, whole)
+    assert encoder.ids("a b a").tolist() == library("a b a") and len(encoder) == 2 * (whole == 0)
+    for text in ODD:
+        known = len(encoder)
+        assert encoder.ids(text).tolist() == library(text)
+        assert len(text or "") > whole or len(encoder) == known
+
+
 @pytest.mark.parametrize("chunk, overlap", [(40, 30), (200, 64), (3000, 100)])
 def test_resynchronised_counts(library, chunk, overlap):
     for text in [*ODD[1:], "<|endoftext|>".join(["ab 'sd're, 12. " * 40, "z" * 700, "q r\n\n s"])]:

@@ -4,7 +4,7 @@ The ids are those of the vocabulary's own library; its rank form is read by a fa
 that gives the same ids (held against each other in the tests). Two ways around the cost of
 long and repetitive texts:
 
-* ``PieceEncoder`` cuts a text at single blanks between non-blanks, where the splitting pattern
+* ``PieceEncoder`` cuts a huge document at single blanks between non-blanks, where the splitting pattern
   of the vocabulary always ends a word, and keeps the ids of pieces it has seen;
 * ``count_long`` counts a huge document in overlapping chunks, by resynchronisation.
 """
@@ -35,6 +35,7 @@ _MARGIN = 2 * max(map(len, SPECIAL))
 _TWO_BLANKS = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _PIECES, _PIECE_CHARS = 1_000_000, 32_000_000
+_WHOLE = 1 << 17
 
 
 @cache
@@ -61,12 +62,13 @@ class PieceEncoder(dict):
     """Ids of whole texts through a bounded table of pieces already encoded.
 
     Maps a piece to its row of a table of ids. The table is emptied between documents when it
-    has become large, so memory does not follow the input.
+    has become large, so memory does not follow the input. Texts of up to ``whole`` characters are
+    encoded as they are, as looking up their pieces costs more than that.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, whole: int = _WHOLE):
         super().__init__()
-        self.path, self.ordinary = path, encoding(path).encode_ordinary
+        self.path, self.whole, self.ordinary = path, whole, encoding(path).encode_ordinary
         self._empty()
 
     def _empty(self) -> None:
@@ -93,6 +95,8 @@ class PieceEncoder(dict):
         """Token ids of a text; none for null and the empty text."""
         if not text:
             return np.zeros(0, np.uint32)
+        if len(text) <= self.whole:
+            return encode(self.path, text)
         if len(self) > _PIECES or self.chars > _PIECE_CHARS:
             self._empty()
         plain = text[0] != " " and text[-1] != " " and not _TWO_BLANKS.search(text)
