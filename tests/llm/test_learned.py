@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -54,6 +55,21 @@ def test_no_labels_and_empty_tables(docs_of, shipped):
     assert language.keep_identified(docs).count() == 1
 
 
+def test_the_sample_of_language_id_is_held_once():
+    rng = np.random.default_rng(6)
+    marks = rng.integers(0, 256, (600, language.WIDTH // 8), np.uint8) & 0x11
+    tracemalloc.start()
+    presence = language.unpacked([row.tobytes() for row in marks])
+    model = language.fit(presence, ["aa"] * 300 + ["bb"] * 300, landmarks=512)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    vectors = language._normalised(np.unpackbits(marks, axis=1).astype(np.float32))
+    assert np.array_equal(presence, vectors)
+    found = (vectors @ model.weights).argmax(axis=1)
+    assert (found == np.repeat([0, 1], 300)).mean() > 0.9
+    assert peak < 4 * language.WIDTH * (600 + 512) * 1.25
+
+
 def test_quality_separates_noise(docs_of, shipped):
     rng = np.random.default_rng(4)
     good = [(i, " ".join(rng.choice(WORDS["aa"].split(), 20))) for i in range(80)]

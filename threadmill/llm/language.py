@@ -25,7 +25,7 @@ WIDTH = ORDERS * BUCKETS
 SAMPLE, PER_LANGUAGE, LANDMARKS = 2048, 300, 512
 UNKNOWN = "und"
 _SLICE = 1 << 20
-_ROWS = 64
+_ROWS, _COLUMNS = 64, 1 << 11
 
 
 @dataclass
@@ -73,10 +73,20 @@ def _normalised(presence: np.ndarray) -> np.ndarray:
     return presence
 
 
+def unpacked(rows: list[bytes]) -> np.ndarray:
+    """Presence vectors from rows of packed marks, filled in slice by slice, so that there is one copy."""
+    out = np.empty((len(rows), WIDTH), np.float32)
+    for begin in range(0, len(rows), _ROWS):
+        packed = np.frombuffer(b"".join(rows[begin : begin + _ROWS]), np.uint8).reshape(-1, WIDTH // 8)
+        out[begin : begin + _ROWS] = np.unpackbits(packed, axis=1)
+    return out
+
+
 def fit(presence: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: float = 1e-2) -> Model:
-    """Kernel ridge regression on the landmarks; ``presence`` are rows of marked n-grams.
+    """Kernel ridge regression on the landmarks; ``presence`` are rows of marked n-grams, normalised in place.
 
     Landmarks are taken evenly from the rows; these come sorted by language, so every language gives its share.
+    Beside the rows and the landmarks nothing of their width is held as a whole.
     """
     languages = sorted(set(langs))
     x = _normalised(presence)
@@ -87,7 +97,8 @@ def fit(presence: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridg
     share = np.array([1 / langs.count(l) for l in langs])[:, None] * len(langs) / len(languages)
     system = between.T @ (share * between) + ridge * len(x) / 100 * among + 1e-6 * np.eye(len(z))
     alpha = np.linalg.solve(system, between.T @ (share * targets))
-    return Model(languages, (z.T @ alpha).astype(np.float32))
+    weights = [(z[:, begin : begin + _COLUMNS].T @ alpha).astype(np.float32) for begin in range(0, WIDTH, _COLUMNS)]
+    return Model(languages, np.concatenate(weights))
 
 
 def score(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -153,8 +164,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, total: int = SAMPLE
     rows = sorted(tuple(r) for r in sample.mapInPandas(marked, "lang string, bits binary").limit(total).collect())
     if not rows:
         return Model([], np.zeros((WIDTH, 0), np.float32))
-    presence = np.array([np.unpackbits(np.frombuffer(bits, np.uint8)) for _, bits in rows], np.float32)
-    return fit(presence, [lang for lang, _ in rows])
+    return fit(unpacked([bits for _, bits in rows]), [lang for lang, _ in rows])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
