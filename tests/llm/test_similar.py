@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from threadmill.llm import leaks, nearjoin, repeats, vectors
-from threadmill.llm.groups import block_pairs, components
+from threadmill.llm.groups import block_pairs, components, narrowed
 from threadmill.llm.textarrays import text_shingles
 
 
@@ -104,6 +104,19 @@ def test_nodes_have_their_sizes_and_equal_paths_are_looked_up_once(shipped):
     assert {tuple(r)[::2] for r in nearjoin._reached(crowded, 4, 8, 6).collect()} == {(t, 8) for t in range(3)}
 
 
+def test_rows_without_a_wanted_key_are_not_moved(shipped):
+    rows = shipped.range(-10_000, 10_000).selectExpr("CAST(id AS INT) AS k", "id AS v").union(
+        shipped.createDataFrame([(7, -1), (None, -2)], "k int, v long"))
+    wanted = shipped.createDataFrame([(i,) for i in (7, -9999, 400, 7)], "other long")
+    kept = narrowed(rows, "k", wanted, "other")
+    assert kept.columns == ["k", "v"]
+    got = Counter(r.k for r in kept.collect())
+    assert got[7] == 2 and got[-9999] == got[400] == 1 and sum(got.values()) < 14
+    full = shipped.range(100_000).select("id")
+    assert narrowed(rows, "k", full, "id", words=1).where("k IS NOT NULL").count() == 20_001
+    assert narrowed(rows, "k", wanted.limit(0), "other").count() == 0
+
+
 def test_least_number_of_equal_labels():
     rng = np.random.default_rng(5)
     equal = rng.binomial(192, 0.8, 200_000)

@@ -1,4 +1,4 @@
-"""Large groups cut into pairs of blocks, and connected components, for the similarity operators."""
+"""Large groups cut into pairs of blocks, joins with few keys, and connected components, for the similarity operators."""
 
 from __future__ import annotations
 
@@ -6,11 +6,35 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from threadmill.sources.tables import stage
 
+WORDS = 1 << 17
+
+
+def narrowed(rows: DataFrame, key: str, wanted: DataFrame, name: str, words: int = WORDS) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not among the ``name`` of ``wanted``; none that is gets lost.
+
+    Keys are whole numbers. A join of many rows with few keys then moves few rows. The hashes of the keys
+    are marked in a table of ``words`` numbers of 64 bits, which is all that is broadcast; where it is full,
+    all rows stay, and the join moves them as it would have without. ``wanted`` is read once more, so it should be staged.
+    """
+
+    word, bit, marked, marks = (f"_{key}_{x}" for x in ("word", "bit", "marked", "marks"))
+
+    def place(column: str) -> tuple[Column, Column]:
+        h = F.xxhash64(F.col(column).cast("long"), F.lit(29))
+        return F.pmod(h, F.lit(words)).alias(word), F.shiftrightunsigned(h, 40).bitwiseAND(63).cast("int").alias(bit)
+
+    table = (
+        wanted.select(*place(name)).groupBy(F.col(word).alias(marked))
+        .agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias(marks))
+    )
+    found = (F.col(word) == F.col(marked)) & F.expr(f"(shiftrightunsigned({marks}, {bit}) & 1L) = 1L")
+    return rows.select("*", *place(key)).join(F.broadcast(table), found, "left_semi").drop(word, bit)
+
 
 def block_pairs(members: DataFrame, key: str, item: str, size: int, count: str | None = None) -> DataFrame:
     """Rows of groups with two or more members, dealt out so that any two of a group meet.

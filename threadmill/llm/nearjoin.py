@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from threadmill.llm.groups import block_pairs, components, linked_once, per_unit, star_rows
+from threadmill.llm.groups import block_pairs, components, linked_once, narrowed, per_unit, star_rows
 from threadmill.llm.textarrays import fingerprint, minima, text_shingles
 from threadmill.sources.tables import stage
 
@@ -101,10 +101,12 @@ def forest_groups(
     rows = reps.select("rep", F.inline(path))
     shallow = _nodes(rows.withColumn("depth", F.lit(least)))
     sizes = stage(_sizes(shallow), "nodes")
-    groups = shallow.join(_each_set_once(sizes.where(F.col("n") <= crowd)), "node").select("node", "rep", "n")
-    crowded = stage(
-        shallow.join(sizes.where(F.col("n") > crowd).select("node"), "node").select("rep", "trie", "path"), "crowded"
-    )
+    once = stage(_each_set_once(sizes.where(F.col("n") <= crowd)), "once")
+    # Most nodes hold one class only; these rows are not moved.
+    groups = narrowed(shallow.select("node", "rep"), "node", once, "node").join(once, "node").select("node", "rep", "n")
+    full = sizes.where(F.col("n") > crowd).select("node")
+    crowded = narrowed(shallow.select("node", "rep", "trie", "path"), "node", full, "node").join(full, "node")
+    crowded = stage(crowded.select("rep", "trie", "path"), "crowded")
     if crowded.isEmpty():
         return groups
     by_path = stage(_reached(crowded, least, depth, crowd), "reached-paths")
@@ -146,7 +148,8 @@ def forest_stars(
 ) -> DataFrame:
     """``(a, b)``: stars over the classes that meet in a node and have enough equal labels."""
     groups = stage(forest_groups(reps, similarity, tries, least, depth, recall, crowd), "groups")
-    units = block_pairs(groups, "node", "rep", block, "n").join(reps.select("rep", "labels"), "rep")
+    labels = narrowed(reps.select("rep", "labels"), "rep", groups, "rep")
+    units = block_pairs(groups, "node", "rep", block, "n").join(labels, "rep")
     equal = least_equal(similarity, tries * depth, recall)
     stars = per_unit(units, "node", lambda u: _plausible(u, equal), "id long, links long, root long")
     return stars.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b")).distinct()
@@ -179,8 +182,8 @@ def _links(unit: pd.DataFrame, similarity: float) -> pd.DataFrame | None:
 def class_shingles(base: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """``(rep, f1, f2, shingles)`` of every wanted class, from the text of its smallest document.
 
-    Texts are fetched by doc_id; where a doc_id is repeated with other texts, those are dropped
-    by their fingerprints.
+    Texts are fetched by doc_id, and only those that may be wanted are moved; where a doc_id is repeated
+    with other texts, those are dropped by their fingerprints.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,7 +195,7 @@ def class_shingles(base: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             yield pd.DataFrame(out, columns=["rep", "f1", "f2", "shingles"])
 
     ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
-    texts = base.join(ids, "doc_id").select(F.col("doc_id").alias("rep"), "text")
+    texts = narrowed(base, "doc_id", wanted, "rep").join(ids, "doc_id").select(F.col("doc_id").alias("rep"), "text")
     return texts.mapInPandas(run, "rep long, f1 long, f2 long, shingles binary").dropDuplicates(["rep", "f1", "f2"])
 
 
@@ -236,8 +239,11 @@ def near_documents(
     wanted = groups.join(classes.select("rep", "size", "f1", "f2"), groups.id == classes.rep).select(
         "rep", "f1", "f2", "size", "component"
     )
+    # Members are counted before they get their shingles, so that texts are read for one join and not for two.
+    members = wanted.groupBy("component").agg(F.count("*").alias("n"))
+    wanted = stage(wanted.join(members, "component"), "wanted")
     sets = class_shingles(base, wanted, words).join(wanted, ["rep", "f1", "f2"])
-    units = block_pairs(sets, "component", "rep", block)
+    units = block_pairs(sets, "component", "rep", block, "n")
     stars = stage(per_unit(units, "component", lambda u: _links(u, similarity), "id long, links long, root long"), "stars")
     roots = components(stars, "id", "root")
     links = stars.groupBy("id").agg(F.sum("links").alias("links"))

@@ -13,6 +13,7 @@ _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
 _C = np.uint64(0xFF51AFD7ED558CCD)
 _POWERS = 1 << 16
+_COLUMNS = 1 << 10
 _CODE_POINTS = 0x110000
 
 
@@ -102,10 +103,11 @@ def _multipliers(n: int) -> np.ndarray:
 
 def minima(hashes: np.ndarray, n: int) -> np.ndarray:
     """For each of ``n`` hash functions the least value over a non-empty set, 32 bits each."""
-    out = np.empty(n, np.uint32)
-    for k, a in enumerate(_multipliers(n)):
-        out[k] = (hashes * a).min() >> np.uint64(32)
-    return out
+    out = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    by_function = _multipliers(n)[:, None]
+    for begin in range(0, len(hashes), _COLUMNS):
+        np.minimum(out, (by_function * hashes[begin : begin + _COLUMNS]).min(axis=1), out=out)
+    return (out >> np.uint64(32)).astype(np.uint32)
 
 
 def fingerprint(hashes: np.ndarray) -> tuple[int, int]:
